@@ -53,7 +53,7 @@ def ascending_violations(df: DataFrame, keys: Sequence[str], ts: str, order: Seq
     return high.where(F.col(ts) < F.col("seen_ts"))
 
 
-def _closed(end_us: Column, lateness_ms: int, watermark: str) -> Column:
+def is_passed(end_us: Column, lateness_ms: int = 0, watermark: str = WATERMARK) -> Column:
     """Has the watermark passed the window end plus lateness?  A null watermark has passed nothing."""
     return F.coalesce(micros(watermark) >= end_us + F.lit((lateness_ms - 1) * 1000), F.lit(False))
 
@@ -62,7 +62,7 @@ def is_late(ts: str, size_ms: int, lateness_ms: int = 0, slide_ms: int | None =
     """True if every window of the row is closed: the newest one decides."""
     slide = (slide_ms or size_ms) * 1000
     newest_end = micros(ts) - F.pmod(micros(ts), F.lit(slide)) + F.lit(size_ms * 1000)
-    return _closed(newest_end, lateness_ms, watermark)
+    return is_passed(newest_end, lateness_ms, watermark)
 
 
 def late_rows(
@@ -97,9 +97,9 @@ def firing_log(
     ).withColumn("window_start", F.col("_w.start"))
     end_us = micros(F.col("_w.end"))
     group = [*keys, "window_start"]
-    fired = _closed(end_us, 0, watermark)
+    fired = is_passed(end_us, 0, watermark)
     on_time = merged(rows.where(~fired), group, aggs)
-    again = rows.where(fired & ~_closed(end_us, lateness_ms, watermark)).select(*group, *order, *names)
+    again = rows.where(fired & ~is_passed(end_us, lateness_ms, watermark)).select(*group, *order, *names)
     # The on-time result comes before any row of the window: null sorts first.
     together = again.withColumn("cause", F.lit(AGAIN)).unionByName(
         on_time.withColumn("cause", F.lit(ON_TIME)), allowMissingColumns=True
