@@ -28,6 +28,10 @@ from tidemark.functions.times import micros
 from tidemark.operators.scan import BUCKET, Split, scan
 
 
+# Kinds of rows that meet in the search for the top of a window.
+ROW, HEAD, TAIL = 0, 1, 2
+
+
 def _next(values: np.ndarray, marks: np.ndarray, threshold: float) -> np.ndarray:
     """For each mark, position of the first of the increasing ``values`` with ``value - mark > threshold``."""
     at = np.searchsorted(values, marks + threshold, "right")
@@ -191,22 +195,27 @@ def delta_trigger_top(
     content = list(dict.fromkeys([by, *order, *fields]))
     best = top_row(by, order, content)
     rows = df.select(*dict.fromkeys([*keys, *order, ts, *content])).withColumns(
-        {"_block": F.floor(micros(ts) / width), "_probe": F.lit(0)}
+        {"_block": F.floor(micros(ts) / width), "_probe": F.lit(ROW)}
     )
-
-    def with_probes(block_back: int, position):
-        probes = fires.select(
-            *keys, *at, "fire_ts", *[F.col(a).alias(c) for a, c in zip(at, order)], position.alias(ts),
-            (F.floor(micros("fire_ts") / width) - block_back).alias("_block"), F.lit(1).alias("_probe"),
-        )
-        return rows.unionByName(probes, allowMissingColumns=True)
-
-    group = [*keys, "_block"]
-    # A head ends with the firing row; a tail begins just after the eviction bound.
-    head = scan(with_probes(0, F.col("fire_ts")), group, [*order, "_probe"], [best], split=split)
+    # Each firing asks twice: for the head of its block up to the firing row, and for the tail of the block before, from
+    # just after the eviction bound.
+    own = F.floor(micros("fire_ts") / width)
     bound = F.timestamp_micros(micros("fire_ts") - width)
-    tail = scan(with_probes(1, bound), group, [ts, "_probe", *order], [best], reverse=True, split=time_split)
-    found = head.unionByName(tail).where(F.col("_probe") == 1)
+    questions = F.array(
+        F.struct(own.alias("block"), F.col("fire_ts").alias("at"), F.lit(HEAD).alias("kind")),
+        F.struct((own - 1).alias("block"), bound.alias("at"), F.lit(TAIL).alias("kind")),
+    )
+    probes = fires.withColumn("_q", F.explode(questions)).select(
+        *keys, *at, "fire_ts", *[F.col(a).alias(c) for a, c in zip(at, order)],
+        F.col("_q.at").alias(ts), F.col("_q.block").alias("_block"), F.col("_q.kind").alias("_probe"),
+    )
+    group = [*keys, "_block"]
+    # Both scans share the grouping, so without hot keys they share one shuffle.
+    asked = rows.unionByName(probes, allowMissingColumns=True)
+    heads = scan(asked, group, [*order, "_probe"], [best], split=split).withColumnRenamed("top", "_head")
+    found = scan(heads, group, [ts, "_probe", *order], [best], reverse=True, split=time_split).where(
+        F.col("_probe") != ROW
+    ).withColumn("top", F.when(F.col("_probe") == HEAD, F.col("_head")).otherwise(F.col("top")))
     rank = F.struct(F.col(f"top.{by}"), *[(-F.col(f"top.{c}")).alias(f"o{i}") for i, c in enumerate(order)])
     winner = F.max_by("top", F.when(F.col(f"top.{by}").isNotNull(), rank))
     return found.groupBy(*keys, *at, "fire_ts").agg(winner.alias("top")).select(

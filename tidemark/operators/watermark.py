@@ -98,14 +98,16 @@ def firing_log(
     end_us = micros(F.col("_w.end"))
     group = [*keys, "window_start"]
     fired = is_passed(end_us, 0, watermark)
-    on_time = merged(rows.where(~fired), group, aggs)
-    again = rows.where(fired & ~is_passed(end_us, lateness_ms, watermark)).select(*group, *order, *names)
-    # The on-time result comes before any row of the window: null sorts first.
-    together = again.withColumn("cause", F.lit(AGAIN)).unionByName(
-        on_time.withColumn("cause", F.lit(ON_TIME)), allowMissingColumns=True
+    # One aggregation yields one row of all on-time rows (no order columns: null sorts first) and one row per later row.
+    steps = merged(
+        rows.where(~is_passed(end_us, lateness_ms, watermark)).select(
+            *group, F.when(fired, F.lit(AGAIN)).otherwise(F.lit(ON_TIME)).alias("cause"),
+            *[F.when(fired, F.col(c)).alias(c) for c in order], *names,
+        ),
+        [*group, "cause", *order], aggs,
     ).withColumnsRenamed({n: f"_in{n}" for n in names})
     step = [_over_state(a) for a in aggs]
-    log = scan(together, group, order, [count_rows("firing"), *step], split=split)
+    log = scan(steps, group, order, [count_rows("firing"), *step], split=split)
     end = F.timestamp_micros(micros("window_start") + F.lit(size_ms * 1000))
     return log.select(
         *keys, "window_start", end.alias("window_end"), "firing", "cause", *order, *[a.name for a in aggs]
