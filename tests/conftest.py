@@ -9,9 +9,7 @@ from tidemark.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     s = local_session("tidemark-tests", cores=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield s
     s.stop()

@@ -25,6 +25,14 @@ M1 = [(0, 50, 0.0, 0), (0, 55, 20.0, 1000), (0, 60, 60.0, 2000), (0, 55, 100.0,
 M2 = [[1000], [2500, 15000], [1500, 12500], [2000, 30000], [13000], [31000]]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def ms_of(ts):
     return round(ts.timestamp() * 1000)
 

@@ -19,6 +19,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split
 from tidemark.operators.watermark import firing_log, late_rows, watermark_column
 from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_start
+from tidemark.sources.staging import staged
 
 
 def _timed(lines: DataFrame, parser: P.LineParser, mode: str) -> DataFrame:
@@ -51,7 +52,7 @@ def car_firings(
     mode: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
     """Every firing of the car windows under disorder and allowed lateness, and the rows that came too late."""
-    rows = _timed(lines, parser, mode)
+    rows = staged(_timed(lines, parser, mode))
     marked = watermark_column(rows, "ts", arrival, delay_ms, plan_split(rows, [], arrival))
     aggs = [count_rows("n"), least("ts", "first_ts"), greatest("ts", "last_ts"), total("car_sum", "total")]
     split = plan_split(rows, ["car_kind"], arrival)
@@ -76,7 +77,7 @@ def car_sliding(
 
 def counted_messages(lines: DataFrame, arrival: Sequence[str], size_ms: int = 10_000) -> DataFrame:
     """Sum of counts per key and window, with the times joined by a bar in arrival order.  Malformed lines are skipped."""
-    rows = _timed(lines, P.COUNTED, "drop").withColumn("window_start", window_start("ts", size_ms))
+    rows = staged(_timed(lines, P.COUNTED, "drop")).withColumn("window_start", window_start("ts", size_ms))
     split = plan_split(rows, ["key"], arrival)
     return concat_in_order(
         rows, ["key", "window_start"], arrival, "time", "|", "times", [total("n", "total")], split
@@ -87,7 +88,7 @@ def top_speed(
     lines: DataFrame, arrival: Sequence[str], threshold: float = 50, evict_ms: int = 10_000, mode: str = "fail"
 ) -> DataFrame:
     """Top speed of each car over the last stretch of time, whenever it has gone another ``threshold`` metres."""
-    rows = _timed(lines, P.TELEMETRY, mode)
+    rows = staged(_timed(lines, P.TELEMETRY, mode))
     split = plan_split(rows, ["id"], arrival)
     time_split = plan_split(rows, ["id"], ["ts", *arrival]) if split else None
     fields = ["id", "speed", "distance", "ts_ms"]
