@@ -1,0 +1,8 @@
+"""Keyed event-stream analytics on Spark: windows, watermarks, late rows, interval joins, word counts."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tidemark.functions.aggregates import greatest, top_row
 from tidemark.functions.times import micros
 from tidemark.operators.scan import BUCKET, Split, scan
+from tidemark.sources.staging import staged
 
 
 # Kinds of rows that meet in the search for the top of a window.
@@ -144,7 +145,7 @@ def delta_fires(
     if split is None:
         marked = highs.withColumns({BUCKET: F.lit(0).cast("bigint"), "_seed": F.lit(False)})
     else:
-        highs = split.assign(highs)
+        highs = staged(split.assign(highs))
         entries = _entry_marks(highs, keys, threshold).withColumn("_seed", F.lit(True))
         marked = highs.withColumn("_seed", F.lit(False)).unionByName(entries, allowMissingColumns=True)
     # An entry mark comes from an earlier range, so it lies below the values of its own and sorts first.
@@ -191,6 +192,8 @@ def delta_trigger_top(
     fires = delta_fires(df, keys, order, measure, threshold, split, keep=[ts]).select(
         *keys, *[F.col(c).alias(a) for a, c in zip(at, order)], F.col(ts).alias("fire_ts")
     )
+    if split is not None:
+        fires = staged(fires)
     width = F.lit(evict_ms * 1000)
     content = list(dict.fromkeys([by, *order, *fields]))
     best = top_row(by, order, content)
@@ -213,7 +216,7 @@ def delta_trigger_top(
     # Both scans share the grouping, so without hot keys they share one shuffle.
     asked = rows.unionByName(probes, allowMissingColumns=True)
     heads = scan(asked, group, [*order, "_probe"], [best], split=split).withColumnRenamed("top", "_head")
-    found = scan(heads, group, [ts, "_probe", *order], [best], reverse=True, split=time_split).where(
+    found = scan(heads, group, [ts, "_probe", *order], [best], True, True, time_split, totals_from=asked).where(
         F.col("_probe") != ROW
     ).withColumn("top", F.when(F.col("_probe") == HEAD, F.col("_head")).otherwise(F.col("top")))
     rank = F.struct(F.col(f"top.{by}"), *[(-F.col(f"top.{c}")).alias(f"o{i}") for i, c in enumerate(order)])

@@ -130,11 +130,13 @@ def scan(
     inclusive: bool = True,
     reverse: bool = False,
     split: Split | None = None,
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add each aggregate over the rows of the group up to (``inclusive``) or strictly before the row.
 
     ``order`` must be unique within a group.  ``reverse`` walks it backwards.  ``split`` comes from :func:`plan_split` on keys
-    that are part of ``group``; None means every group fits a task.
+    that are part of ``group``; None means every group fits a task.  If ``df`` is costly to compute twice, ``totals_from``
+    may hold the same rows with fewer columns.
     """
     names = state_names(aggs)
     states = df.select("*", *state_columns(aggs))
@@ -149,7 +151,8 @@ def scan(
         before = (
             Window.partitionBy(*group).orderBy(direction(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
         )
-        totals = merged(rows.where(F.col(BUCKET) > 0), [*group, BUCKET], aggs)
+        summed = rows if totals_from is None else split.assign(totals_from.select("*", *state_columns(aggs)))
+        totals = merged(summed.where(F.col(BUCKET) > 0), [*group, BUCKET], aggs)
         seeds = totals.select(
             *group, BUCKET, F.lit(True).alias("_seed"),
             F.row_number().over(Window.partitionBy(*group).orderBy(direction(BUCKET))).alias("_rank"),

@@ -17,6 +17,7 @@ from tidemark.functions.aggregates import (
 )
 from tidemark.functions.times import micros, ms
 from tidemark.operators.scan import Split, scan
+from tidemark.sources.staging import staged
 
 WATERMARK = "watermark"
 ON_TIME, AGAIN = "on_time", "again"
@@ -106,6 +107,8 @@ def firing_log(
         ),
         [*group, "cause", *order], aggs,
     ).withColumnsRenamed({n: f"_in{n}" for n in names})
+    if split is not None:
+        steps = staged(steps)
     step = [_over_state(a) for a in aggs]
     log = scan(steps, group, order, [count_rows("firing"), *step], split=split)
     end = F.timestamp_micros(micros("window_start") + F.lit(size_ms * 1000))

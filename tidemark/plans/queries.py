@@ -23,6 +23,7 @@ from tidemark.operators.watermark import (
 from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_content, window_start
 from tidemark.operators.wordcount import running_count, windowed_word_count, word_count
 from tidemark.plans import jobs
+from tidemark.sources.staging import staged
 
 MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 ARRIVAL = ["arr", "event_id"]
@@ -256,6 +257,8 @@ def delta_top(spark, d):
     split = plan_split(ev, ["user_id"], ["event_id"])
     time_split = plan_split(ev, ["user_id"], ["ts", "event_id"]) if split else None
     moved = scan(ev, ["user_id"], ["event_id"], [total("cents", "distance")], split=split)
+    if split is not None:
+        moved = staged(moved)
     out = delta_trigger_top(
         moved, ["user_id"], ["event_id"], "ts", "distance", "cents", 5000, DAY, ["event_id", "cents"], split, time_split
     )

@@ -1,4 +1,4 @@
-"""Staging of parsed rows that a job reads several times."""
+"""Staging of rows that are costly to compute and read more than once."""
 
 from __future__ import annotations
 
@@ -11,9 +11,9 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The same rows from a columnar copy in the shared folder that ``spark.checkpoint.dir`` names (or ``folder``);
     ``df`` itself if there is none.
 
-    A job over text lines passes over its rows a few times (hot keys, range borders, the work itself).  From the copy each pass reads
-    only the columns it needs instead of parsing all text again, and a lost executor costs no re-parse.  The copy stays
-    until the folder is cleaned.
+    Each later pass reads only the columns it needs instead of computing the rows again, lineage is cut, and a lost executor
+    costs no recomputation.  Used for parsed text, and between the steps of the hot-key plans.  The copy stays until the
+    folder is cleaned.
     """
     spark = df.sparkSession
     folder = folder or spark.conf.get("spark.checkpoint.dir", None)
