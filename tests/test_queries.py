@@ -8,7 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-
+from tidemark.operators.scan import HOT_ROWS_SETTING
+
+# Queries whose plan depends on whether a key is hot.
+KEYED = [
+    "session_sum", "running_count", "running_word_count", "count_window", "count_window_slide", "count_window_fold",
+    "reduce_concat", "sorted_window_content", "ascending_violations", "firing_log", "firing_log_sliding", "firing_final",
+    "delta_trigger_top", "counted_line_windows", "telemetry_top_speed",
+]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
@@ -38,6 +45,20 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query(spark, duck, name):
+    check(spark, duck, name)
+
+
+@pytest.mark.parametrize("name", KEYED)
+def test_query_with_hot_keys(spark, duck, name):
+    """The same with nearly every key treated as too hot for one task."""
+    spark.conf.set(HOT_ROWS_SETTING, "60")
+    try:
+        check(spark, duck, name)
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+
+
+def check(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_DIR)
     cur = duck.execute(entry_module.oracle_sql()[name])
     columns = [c[0] for c in cur.description]

@@ -241,3 +241,69 @@ def test_parquet_sink(spark, tmp_path):
     df = as_stream(spark, tmp_path, [[("a", 1, 1)], [("b", 2, 2)]], M2_SCHEMA)
     start(df, f"{tmp_path}/checkpoint", path=f"{tmp_path}/files").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/files").count() == 2
+
+
+def test_restart_continues_from_the_checkpoint(spark, tmp_path):
+    """A stopped stream goes on where it was: state, watermark snapshot and outputs."""
+    rows = [("a", str(i), i) for i in range(8)]
+    schema = "key string, v string, arr long"
+    as_stream(spark, tmp_path, [rows[:4]], schema)
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    windows = count_windows_stream(stream, ["key"], ["arr"], "v", 3)
+    first = run(windows, tmp_path)
+    spark.createDataFrame(rows[4:], schema).coalesce(1).write.parquet(f"{tmp_path}/in/001")
+    second = run(windows, tmp_path)
+    assert [r["joined"] for r in first] == ["012"] and [r["joined"] for r in second] == ["345"]
+
+
+def test_late_split_restart(spark, tmp_path):
+    batches = m2_batches()
+    for i, rows in enumerate(batches[:3]):
+        spark.createDataFrame(rows, M2_SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{i:03d}")
+    stream = (
+        spark.readStream.schema(M2_SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+        .parquet(f"{tmp_path}/in").withColumn("ts", from_millis("ms"))
+    )
+    for part in (batches[3:5], batches[5:], []):
+        split = LateSplit(f"{tmp_path}/out", ["key"], "ts", 3000, [count_rows()], 10_000)
+        start(stream, f"{tmp_path}/checkpoint", "append", split).awaitTermination()
+        done = len(list((tmp_path / "in").iterdir()))
+        for i, rows in enumerate(part):
+            spark.createDataFrame(rows, M2_SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{done + i:03d}")
+    late = spark.read.schema(f"{M2_SCHEMA}, batch int").parquet(f"{tmp_path}/out/late").collect()
+    assert {r["ms"] for r in late} == {1500, 2000, 13000}
+    results = spark.read.parquet(f"{tmp_path}/out/results").collect()
+    assert {(ms_of(r["window_start"]), r["n"]) for r in results} == {(0, 2), (12000, 1), (15000, 1)}
+    # Only the last two snapshots are kept.
+    assert sorted(p.name for p in (tmp_path / "out" / "windows").iterdir()) == ["batch=4", "batch=5"]
+
+
+def test_console_and_period(spark, tmp_path, capfd):
+    df = as_stream(spark, tmp_path, [[("a", 1, 1)]], M2_SCHEMA)
+    query = start(df, f"{tmp_path}/checkpoint", console=True, every_ms=200)
+    query.processAllAvailable()
+    query.stop()
+    assert not query.isActive and query.exception() is None
+    with pytest.raises(ValueError):
+        start(df, f"{tmp_path}/other")
+
+
+def test_delta_stream_agrees_with_the_table(spark, tmp_path):
+    import random
+
+    from tidemark.operators.delta import delta_trigger_top
+
+    rnd = random.Random(4)
+    rows, dist, now = [], {}, 1000
+    for i in range(120):
+        key = rnd.choice(["a", "b"])
+        now += rnd.choice([0, 40, 300])
+        dist[key] = dist.get(key, 0.0) + rnd.random() * 9
+        rows.append((key, i, dist[key], now, rnd.randrange(5)))
+    schema = "key string, arr long, dist double, ms long, speed int"
+    df = as_stream(spark, tmp_path, [rows[:50], rows[50:90], rows[90:]], schema).withColumn("ts", from_millis("ms"))
+    out = run(delta_top_stream(df, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500), tmp_path)
+    table = spark.createDataFrame(rows, schema).withColumn("ts", from_millis("ms"))
+    want = delta_trigger_top(table, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500, ["speed", "ms"]).collect()
+    got = sorted((r["key"], r["fire_ts"], r["top"], ms_of(r["top_ts"])) for r in out)
+    assert got == sorted((r["key"], r["fire_ts"], r["top"]["speed"], r["top"]["ms"]) for r in want)

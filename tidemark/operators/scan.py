@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Agg, final_columns, merged, merges, state_columns, state_names
 
-# A group of at most this many rows may be sorted by one task.
+# A group of at most this many rows may be sorted by one task; the session setting overrides the number.
 HOT_ROWS = 1_000_000
+HOT_ROWS_SETTING = "spark.tidemark.hotRows"
 BUCKET = "_bucket"
 
 
@@ -94,7 +95,7 @@ def plan_split(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     buckets: int | None = None,
 ) -> Split | None:
     """Look for groups too large for one task; None if there are none.
@@ -103,7 +104,9 @@ def plan_split(
     most ``buckets`` groups are taken, largest first, so any other group holds fewer than ``hot_rows`` or fewer than 1/``buckets``
     of all rows, which is what an average task gets anyway.  Without keys all rows form one group, which is always cut.
     """
-    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    hot_rows = hot_rows or int(conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
+    buckets = buckets or max(2, int(conf.get("spark.sql.shuffle.partitions")))
     hot = None
     rows = df
     if keys:
