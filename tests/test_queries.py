@@ -14,7 +14,7 @@ from tidemark.operators.scan import HOT_ROWS_SETTING
 KEYED = [
     "session_sum", "running_count", "running_word_count", "count_window", "count_window_slide", "count_window_fold",
     "reduce_concat", "sorted_window_content", "ascending_violations", "firing_log", "firing_log_sliding", "firing_final",
-    "delta_trigger_top", "counted_line_windows", "telemetry_top_speed",
+    "delta_trigger_top", "counted_line_windows", "telemetry_top_speed", "json_car_firings", "text_car_late",
 ]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 

@@ -307,3 +307,13 @@ def test_delta_stream_agrees_with_the_table(spark, tmp_path):
     want = delta_trigger_top(table, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500, ["speed", "ms"]).collect()
     got = sorted((r["key"], r["fire_ts"], r["top"], ms_of(r["top_ts"])) for r in out)
     assert got == sorted((r["key"], r["fire_ts"], r["top"]["speed"], r["top"]["ms"]) for r in want)
+
+
+def test_ordered_reduce_on_a_stream(spark, tmp_path):
+    """Sum of counts and times joined in arrival order, per window, as a stream in update mode."""
+    rows = [("a", 1000, 3), ("a", 2000, 1), ("b", 2500, 2), ("a", 8000, 0), ("a", 11_000, 4)]
+    df = as_stream(spark, tmp_path, [rows[:3], rows[3:]], M2_SCHEMA).withColumn("ts", from_millis("ms"))
+    df = df.withColumn("text", F.col("ms").cast("string"))
+    out = run(windowed_stream(df, ["key"], "ts", 10_000, [total("arr"), joined("text", ["arr"], "|", "t")], 5000), tmp_path, "update", True)
+    last = {(r["key"], ms_of(r["window_start"])): (r["sum_arr"], r["t"]) for _, r in out}
+    assert last == {("a", 0): (4, "8000|2000|1000"), ("b", 0): (2, "2500"), ("a", 10_000): (4, "11000")}

@@ -23,6 +23,8 @@ from tidemark.functions.aggregates import Agg, final_columns, merged, merges, st
 # A group of at most this many rows may be sorted by one task; the session setting overrides the number.
 HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.tidemark.hotRows"
+# Bounds the lists that pass through the driver and the broadcast: hot keys, and range borders.
+MAX_RANGES = 20_000
 BUCKET = "_bucket"
 
 
@@ -75,7 +77,7 @@ class Split:
             cond = same[0]
             for s in same[1:]:
                 cond = cond & s
-            # At most one row per range exists in the hot list, see plan_split.
+            # The hot list has at most MAX_RANGES rows, see plan_split.
             df = df.join(F.broadcast(hot), cond, "left").drop(*names)
         else:
             df = df.withColumn("_is_hot", F.lit(True))
@@ -100,23 +102,31 @@ def plan_split(
 ) -> Split | None:
     """Look for groups too large for one task; None if there are none.
 
-    Runs a counting job (one column set, map-side combined) and, only if hot groups exist, a quantile job.  At
-    most ``buckets`` groups are taken, largest first, so any other group holds fewer than ``hot_rows`` or fewer than 1/``buckets``
-    of all rows, which is what an average task gets anyway.  Without keys all rows form one group, which is always cut.
+    Runs a counting job (key columns only, map-side combined) and, only if hot groups exist, a quantile job.  Hot is
+    what holds more than ``hot_rows`` rows, taken largest first up to MAX_RANGES groups; any group beyond these holds less
+    than 1/MAX_RANGES of all rows.  Without keys all rows form one group, which is always cut.
+
+    ``buckets``, the number of ranges, follows the hot rows: at least the shuffle parallelism, and enough that a range
+    holds about ``hot_rows`` rows.
     """
     conf = df.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    buckets = buckets or max(2, int(conf.get("spark.sql.shuffle.partitions")))
     hot = None
     rows = df
     if keys:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(buckets).drop("_n").collect()
+        found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_RANGES).collect()
         if not found:
             return None
-        hot = df.sparkSession.createDataFrame([tuple(r) for r in found], df.select(*keys).schema)
+        size = sum(r["_n"] for r in found)
+        hot = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], df.select(*keys).schema)
         probe = Split(tuple(keys), tuple(order), hot, [-math.inf, 0.0, math.inf], [], None)
         rows = probe.assign(df.select(*dict.fromkeys([*keys, *order]))).where(F.col(BUCKET) > 0)
+    else:
+        size = df.count()
+    if buckets is None:
+        parallelism = max(2, int(conf.get("spark.sql.shuffle.partitions")))
+        buckets = min(MAX_RANGES, max(parallelism, math.ceil(size / hot_rows)))
     borders, heavy = _cut_points(rows, order[0], buckets)
     ties = None
     if heavy and len(order) > 1:

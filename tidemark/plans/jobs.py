@@ -48,13 +48,20 @@ def car_firings(
     size_ms: int = 3000,
     delay_ms: int = 3500,
     lateness_ms: int = 5000,
+    by_arrival: bool = False,
     parser: P.LineParser = P.CAR_TEXT,
     mode: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Every firing of the car windows under disorder and allowed lateness, and the rows that came too late."""
+    """Every firing of the car windows under disorder and allowed lateness, and the rows that came too late.
+
+    The time range goes from the earliest to the latest time, or from the first to the last arrival.
+    """
     rows = staged(_timed(lines, parser, mode))
     marked = watermark_column(rows, "ts", arrival, delay_ms, plan_split(rows, [], arrival))
-    aggs = [count_rows("n"), least("ts", "first_ts"), greatest("ts", "last_ts"), total("car_sum", "total")]
+    ends = [first_by("ts", arrival, "first_ts"), last_by("ts", arrival, "last_ts")]
+    if not by_arrival:
+        ends = [least("ts", "first_ts"), greatest("ts", "last_ts")]
+    aggs = [count_rows("n"), *ends, total("car_sum", "total")]
     split = plan_split(rows, ["car_kind"], arrival)
     log = firing_log(marked, ["car_kind"], "ts", arrival, size_ms, aggs, lateness_ms, split=split)
     return log, late_rows(marked, "ts", size_ms, lateness_ms)

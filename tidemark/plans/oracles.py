@@ -226,6 +226,33 @@ ORACLES = {
     SELECT CAST(user_id AS VARCHAR) AS car_kind, window_start, window_start + INTERVAL '10 hours' AS window_end,
            CAST(sum({K}) AS BIGINT) AS total, count(*) AS n
     FROM w GROUP BY user_id, window_start""",
+    "json_car_firings": f"""
+    WITH {EVENTS}, cars AS (
+      SELECT CAST(user_id AS VARCHAR) AS car_kind, epoch_us(ts) // 1000 AS ms, {K} AS k, arr, event_id FROM ev),
+    marked AS (
+      SELECT *, (ms // 3600000 + 1) * 3600000 AS e, max(ms) OVER (
+        ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000 AS wm FROM cars),
+    classed AS (
+      SELECT *, CASE WHEN wm IS NULL OR wm < e - 1 THEN 0 WHEN wm < e - 1 + 7200000 THEN 1 ELSE 2 END AS cls FROM marked),
+    steps AS (
+      SELECT car_kind, e, NULL::BIGINT AS arr, NULL::BIGINT AS event_id, count(*) AS n1, sum(k) AS s1,
+             arg_min(ms, (arr, event_id)) AS f1, arg_max(ms, (arr, event_id)) AS l1
+      FROM classed WHERE cls = 0 GROUP BY car_kind, e
+      UNION ALL
+      SELECT car_kind, e, arr, event_id, 1, k, ms, ms FROM classed WHERE cls = 1)
+    SELECT car_kind, make_timestamp_ms(e - 3600000) AS window_start, make_timestamp_ms(e) AS window_end,
+           row_number() OVER f AS firing, CAST(sum(n1) OVER f AS BIGINT) AS n,
+           make_timestamp_ms(first_value(f1) OVER f) AS first_ts, make_timestamp_ms(last_value(l1) OVER f) AS last_ts,
+           CAST(sum(s1) OVER f AS BIGINT) AS total
+    FROM steps
+    WINDOW f AS (PARTITION BY car_kind, e ORDER BY arr NULLS FIRST, event_id NULLS FIRST
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "text_car_late": f"""
+    WITH {EVENTS}, marked AS (
+      SELECT *, epoch_us(ts) // 1000 AS ms, max(epoch_us(ts) // 1000) OVER (
+        ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1800000 AS wm FROM ev)
+    SELECT event_id, event_type AS car_kind, ms AS ts_ms, CAST(user_id AS INTEGER) AS car_sum FROM marked
+    WHERE wm >= (ms // 3600000 + 1) * 3600000 - 1 + 3600000""",
     "text_car_windows": f"""
     WITH w AS (SELECT *, {bucket('3 hours')} AS window_start FROM events)
     SELECT 'key:' || event_type || ',  window:[ ' || strftime(window_start, {T_SEC}) || '  ,  '

@@ -304,6 +304,20 @@ def json_car_sliding(spark, d):
     return plain_times(jobs.car_sliding(_json_lines(events(spark, d)), 10 * HOUR, 5 * HOUR))
 
 
+def json_car_firings(spark, d):
+    log, _ = jobs.car_firings(
+        _json_lines(events(spark, d)), ARRIVAL, HOUR, HOUR, 2 * HOUR, by_arrival=True, parser=P.CAR_JSON_LINE
+    )
+    return plain_times(log.drop("cause", *ARRIVAL))
+
+
+def text_car_late(spark, d):
+    ev = events(spark, d)
+    cells = [F.col("event_type"), F.unix_millis("ts").cast("string"), F.col("user_id").cast("string")]
+    _, late = jobs.car_firings(_lines(ev, cells, "@"), ARRIVAL, HOUR, 30 * MINUTE, HOUR)
+    return late.select("event_id", "car_kind", "ts_ms", "car_sum")
+
+
 def _lines(df: DataFrame, columns: list[Column], sep: str) -> DataFrame:
     return df.select(*ARRIVAL, F.concat_ws(sep, *columns).alias("value"))
 
@@ -431,6 +445,8 @@ QUERIES = {
     "json_project": json_project,
     "json_car_windows": json_car_windows,
     "json_car_sliding": json_car_sliding,
+    "json_car_firings": json_car_firings,
+    "text_car_late": text_car_late,
     "text_car_windows": text_car_windows,
     "keyed_line_windows": keyed_line_windows,
     "counted_line_windows": counted_line_windows,
