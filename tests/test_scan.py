@@ -72,7 +72,7 @@ def test_scan_without_keys_is_cut(table):
 def test_ranges_are_small_even_with_one_heavy_order_value(table):
     rows, df = table
     split = plan_split(df, ["key"], ["arr", "id"], hot_rows=50, buckets=10)
-    assert split.tie_borders is not None
+    assert split.heavy and len(split.levels) == 2
     sizes = split.assign(df).where(F.col(BUCKET) > 0).groupBy("key", BUCKET).count()
     assert sizes.agg(F.max("count")).first()[0] <= len(rows) / 10 * 2
     # Range numbers grow with the order.
@@ -81,6 +81,35 @@ def test_ranges_are_small_even_with_one_heavy_order_value(table):
     assert numbers == sorted(numbers)
 
 
+def test_ties_on_two_levels(spark):
+    rows = [(i % 2 and 7 or i, i % 3 and 5 or i, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "a long, b long, c long").repartition(3)
+    split = plan_split(df, [], ["a", "b", "c"], buckets=8)
+    assert len(split.levels) == 3
+    assert split.assign(df).groupBy(BUCKET).count().agg(F.max("count")).first()[0] <= 100
+    out = scan(df, [], ["a", "b", "c"], [count_rows("n")], split=split)
+    want = {r: i + 1 for i, r in enumerate(sorted(rows))}
+    assert {(r["a"], r["b"], r["c"]): r["n"] for r in out.collect()} == want
+
+
+def test_order_values_beyond_double_precision(spark):
+    """Neighbouring large integers share a double; the order must still be theirs."""
+    rows = [(2**60 + i % 90, -i, i) for i in range(300)] + [(0, -i, i) for i in range(300, 400)]
+    df = spark.createDataFrame(rows, "a long, b long, c long").repartition(3)
+    out = scan(df, [], ["a", "b"], [count_rows("n")], split=plan_split(df, [], ["a", "b"], buckets=8))
+    want = {r[2]: i + 1 for i, r in enumerate(sorted(rows))}
+    assert {r["c"]: r["n"] for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,2)", "int"])
+def test_order_types(spark, kind):
+    rows = [(x, i) for i, x in enumerate([0.0, -0.0, 1.5, -2.0, None, 0.0, -0.0, 7.0] * 20)]
+    df = spark.createDataFrame(rows, "x double, id long").withColumn("x", F.col("x").cast(kind))
+    out = scan(df, [], ["x", "id"], [count_rows("n")], split=plan_split(df, [], ["x", "id"], buckets=6))
+    plain = scan(df, [], ["x", "id"], [count_rows("n")])
+    assert sorted((r["id"], r["n"]) for r in out.collect()) == sorted((r["id"], r["n"]) for r in plain.collect())
+
+
 def test_first_last_top(table):
     rows, df = table
     aggs = [first_by("id", ["arr", "id"], "f"), last_by("id", ["arr", "id"], "l"), top_row("v", ["arr", "id"], ["id"], "t")]

@@ -25,29 +25,47 @@ HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.tidemark.hotRows"
 # Bounds the lists that pass through the driver and the broadcast: hot keys, and range borders.
 MAX_RANGES = 20_000
+# So many order columns take part in cutting; range numbers then still fit 64 bits.
+MAX_LEVELS = 4
 BUCKET = "_bucket"
 
 
+@dataclass(frozen=True)
+class Level:
+    """Cuts along one order column: range borders, and the ranges that hold a single too frequent value."""
+
+    borders: list[float]
+    heavy: list[int]
+
+
 def _sortable(df: DataFrame, col: str) -> Column:
     """A double that never decreases when ``col`` increases.  Only bucket borders depend on it, never the order itself."""
     kind = df.schema[col].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(F.col(col)).cast("double")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # The two zeros are one value in Spark's order.
+        return F.when(F.col(col) == 0, F.lit(0.0)).otherwise(F.col(col).cast("double"))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         return F.col(col).cast("double")
     raise TypeError(f"order column {col} must be numeric or TIMESTAMP, not {kind.simpleString()}")
 
 
-def _cut_points(df: DataFrame, col: str, buckets: int) -> tuple[list[float], list[int]]:
-    """Bucketizer borders near the quantiles of ``col``, and the buckets that hold one repeated value only."""
+def _is_one_value(kind: T.DataType, v: float) -> bool:
+    """Does the double stand for a single value of the column?  Only such a value may be cut by the next column."""
+    return isinstance(kind, (T.FloatType, T.DoubleType)) or (not isinstance(kind, T.DecimalType) and abs(v) < 2**53)
+
+
+def _cut_points(df: DataFrame, col: str, buckets: int) -> Level:
+    """Borders near the quantiles of ``col``."""
     probs = [i / buckets for i in range(1, buckets)]
     found = df.select(_sortable(df, col).alias("x")).dropna().approxQuantile("x", probs, 0.25 / buckets)
-    heavy = {a for a, b in zip(found, found[1:]) if a == b}
+    heavy = {a for a, b in zip(found, found[1:]) if a == b and _is_one_value(df.schema[col].dataType, a)}
     inner = sorted(set(found) | {math.nextafter(v, math.inf) for v in heavy})
     borders = [-math.inf, *(v for v in inner if math.isfinite(v)), math.inf]
     if len(borders) == 2:
         borders = [-math.inf, 0.0, math.inf]
-    return borders, [i for i, v in enumerate(borders) if v in heavy]
+    return Level(borders, [i for i, v in enumerate(borders) if v in heavy])
 
 
 def _bucket_of(df: DataFrame, col: str, borders: list[float], out: str) -> DataFrame:
@@ -59,38 +77,51 @@ def _bucket_of(df: DataFrame, col: str, borders: list[float], out: str) -> DataF
 
 @dataclass(frozen=True)
 class Split:
-    """How hot groups are cut into ranges: ``keys`` of the hot list, the list itself, and the range borders."""
+    """How hot groups are cut into ranges: ``keys`` of the hot list, the list itself (None: everything is hot), and the cuts.
+
+    The first order column is cut at its quantiles.  A value so frequent that it fills a range alone is cut by
+    the next column, and so on.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     hot: DataFrame | None
-    borders: list[float]
-    heavy: list[int]
-    tie_borders: list[float] | None
+    levels: tuple[Level, ...]
+
+    @property
+    def heavy(self) -> bool:
+        """Does some value of the first order column fill a range alone?"""
+        return bool(self.levels[0].heavy)
+
+    def by_first_column(self) -> Split:
+        """The same without cutting equal values of the first order column."""
+        return Split(self.keys, self.order, self.hot, self.levels[:1])
+
+    def _mark_hot(self, df: DataFrame) -> DataFrame:
+        if self.hot is None:
+            return df.withColumn("_is_hot", F.lit(True))
+        names = [f"_hot_{i}" for i in range(len(self.keys))]
+        hot = self.hot.toDF(*names).withColumn("_is_hot", F.lit(True))
+        same = F.lit(True)
+        for k, n in zip(self.keys, names):
+            same = same & F.col(k).eqNullSafe(F.col(n))
+        # The hot list has at most MAX_RANGES rows, see plan_split.
+        return df.join(F.broadcast(hot), same, "left").drop(*names)
+
+    def hot_rows(self, df: DataFrame) -> DataFrame:
+        return self._mark_hot(df).where("_is_hot").drop("_is_hot")
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the range number: 0 for rows of ordinary groups, else a number that grows with the order."""
-        if self.hot is not None:
-            names = [f"_hot_{i}" for i in range(len(self.keys))]
-            hot = self.hot.toDF(*names).withColumn("_is_hot", F.lit(True))
-            same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(self.keys, names)]
-            cond = same[0]
-            for s in same[1:]:
-                cond = cond & s
-            # The hot list has at most MAX_RANGES rows, see plan_split.
-            df = df.join(F.broadcast(hot), cond, "left").drop(*names)
-        else:
-            df = df.withColumn("_is_hot", F.lit(True))
-        df = _bucket_of(df, self.order[0], self.borders, "_b1")
-        width = 1
-        if self.tie_borders is not None:
-            width = len(self.tie_borders) + 2
-            df = _bucket_of(df, self.order[1], self.tie_borders, "_b2")
-            df = df.withColumn("_b2", F.when(F.col("_b1").isin([h + 1 for h in self.heavy]), F.col("_b2")).otherwise(0))
-        else:
-            df = df.withColumn("_b2", F.lit(0))
-        number = F.when(F.col("_is_hot"), F.col("_b1") * width + F.col("_b2") + 1).otherwise(0)
-        return df.withColumn(BUCKET, number.cast("bigint")).drop("_is_hot", "_b1", "_b2")
+        df = self._mark_hot(df)
+        number, undecided, placed = F.lit(0).cast("bigint"), F.lit(True), []
+        for i, (level, col) in enumerate(zip(self.levels, self.order)):
+            placed.append(f"_b{i}")
+            df = _bucket_of(df, col, level.borders, placed[i])
+            here = F.col(placed[i])
+            number = number * (len(level.borders) + 2) + F.when(undecided, here).otherwise(0)
+            undecided = undecided & here.isin([h + 1 for h in level.heavy])
+        return df.withColumn(BUCKET, F.when(F.col("_is_hot"), number + 1).otherwise(0)).drop("_is_hot", *placed)
 
 
 def plan_split(
@@ -120,19 +151,20 @@ def plan_split(
             return None
         size = sum(r["_n"] for r in found)
         hot = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], df.select(*keys).schema)
-        probe = Split(tuple(keys), tuple(order), hot, [-math.inf, 0.0, math.inf], [], None)
-        rows = probe.assign(df.select(*dict.fromkeys([*keys, *order]))).where(F.col(BUCKET) > 0)
+        rows = Split(tuple(keys), (), hot, ()).hot_rows(df.select(*dict.fromkeys([*keys, *order])))
     else:
         size = df.count()
     if buckets is None:
         parallelism = max(2, int(conf.get("spark.sql.shuffle.partitions")))
         buckets = min(MAX_RANGES, max(parallelism, math.ceil(size / hot_rows)))
-    borders, heavy = _cut_points(rows, order[0], buckets)
-    ties = None
-    if heavy and len(order) > 1:
-        tied = _bucket_of(rows, order[0], borders, "_b1").where(F.col("_b1").isin([h + 1 for h in heavy]))
-        ties, _ = _cut_points(tied, order[1], buckets)
-    return Split(tuple(keys), tuple(order), hot, borders, heavy, ties)
+    levels: list[Level] = []
+    for col in order[:MAX_LEVELS]:
+        level = _cut_points(rows, col, buckets)
+        levels.append(level)
+        if not level.heavy:
+            break
+        rows = _bucket_of(rows, col, level.borders, "_b").where(F.col("_b").isin([h + 1 for h in level.heavy])).drop("_b")
+    return Split(tuple(keys), tuple(order), hot, tuple(levels))
 
 
 def scan(

@@ -41,7 +41,7 @@ def sessions(
         rows = rows.withColumn(BUCKET, F.lit(0).cast("bigint"))
     else:
         # The range depends on the time alone: equal times must stay together.
-        rows = Split(split.keys, split.order, split.hot, split.borders, split.heavy, None).assign(rows)
+        rows = split.by_first_column().assign(rows)
     timed = rows.withColumn("_us", micros(ts)).select(*keys, BUCKET, "_us", *state_columns(parts))
     if split is not None and split.heavy:
         timed = merged(timed, [*keys, BUCKET, "_us"], parts)
