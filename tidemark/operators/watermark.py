@@ -66,6 +66,11 @@ def is_late(ts: str, size_ms: int, lateness_ms: int = 0, slide_ms: int | None =
     return is_passed(newest_end, lateness_ms, watermark)
 
 
+def behind_watermark(df: DataFrame, ts: str, watermark: str = WATERMARK) -> DataFrame:
+    """Rows the watermark had already passed when they arrived, whatever window they belong to."""
+    return df.where(F.col(ts) <= F.col(watermark))
+
+
 def late_rows(
     df: DataFrame, ts: str, size_ms: int, lateness_ms: int = 0, slide_ms: int | None = None, watermark: str = WATERMARK
 ) -> DataFrame:

@@ -40,6 +40,11 @@ MARKED = f"""{EVENTS}, marked AS (
       FROM ev)"""
 
 
+LAGGED = f"""{EVENTS}, c AS (
+      SELECT event_id, ts, max(ts) OVER (ORDER BY arr, event_id ROWS UNBOUNDED PRECEDING)
+        + INTERVAL '30 minutes' - INTERVAL '2 hours' AS watermark FROM ev)"""
+
+
 def _log(size_h: int, slide_h: int, lateness_h: int) -> str:
     return f"""{MARKED}, w AS (
       SELECT *, {bucket(f'{slide_h} hours')} - to_hours({slide_h} * i) AS window_start
@@ -200,11 +205,9 @@ ORACLES = {
     WITH {MARKED}
     SELECT event_id, user_id, ts, make_timestamp(wm) AS watermark FROM marked
     WHERE wm >= epoch_us({bucket('1 hour')}) + {HOUR_US} - 1000 + {2 * HOUR_US}""",
-    "lag_watermark_late": f"""
-    WITH {EVENTS}, c AS (
-      SELECT event_id, ts, max(ts) OVER (ORDER BY arr, event_id ROWS UNBOUNDED PRECEDING)
-        + INTERVAL '30 minutes' - INTERVAL '2 hours' AS watermark FROM ev)
-    SELECT * FROM c WHERE epoch_us(watermark) >= epoch_us({bucket('1 hour')}) + {HOUR_US} - 1000""",
+    "lag_watermark_late": f"WITH {LAGGED} SELECT * FROM c WHERE ts <= watermark",
+    "lag_window_late": f"""
+    WITH {LAGGED} SELECT * FROM c WHERE epoch_us(watermark) >= epoch_us({bucket('1 hour')}) + {HOUR_US} - 1000""",
     "delta_trigger_top": "WITH RECURSIVE " + _delta(
         "sum(cents) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)", "cents", 5000, "1 day")
     + " SELECT user_id, fire_id, fire_ts, top.id AS top_id, top.speed AS top_cents FROM found",
@@ -273,6 +276,14 @@ ORACLES = {
     FROM ev GROUP BY ALL""",
     "telemetry_top_speed": "WITH RECURSIVE " + _delta("event_id", "k", 200, "2 days")
     + " SELECT CAST(user_id AS INTEGER) AS id, fire_id, top.speed AS speed, (epoch_us(top.ts) // 1000) AS ts_ms FROM found",
+    "line_parse": """
+    WITH e AS (SELECT event_id, event_type AS k, user_id AS u, epoch_us(ts) // 1000 AS ms FROM events)
+    SELECT event_id, 'car' AS form, k AS name, u AS number, ms AS at FROM e
+    UNION ALL SELECT event_id, 'keyed', k, NULL, ms FROM e
+    UNION ALL SELECT event_id, 'counted', k, u, ms // 1000 * 1000 FROM e
+    UNION ALL SELECT event_id, 'person', k, u, NULL FROM e
+    UNION ALL SELECT event_id, 'job', k, u, NULL FROM e
+    UNION ALL SELECT event_id, 'telemetry', CAST(u AS VARCHAR), event_id, ms FROM e""",
     "people_jobs_join": f"""
     SELECT CAST(v.user_id AS VARCHAR) AS name, CAST({K.replace('props', 'v.props')} AS VARCHAR) AS age, 'F' AS sexy,
            'job' || p.event_id AS job, p.ts AS shiptime

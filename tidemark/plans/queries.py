@@ -18,7 +18,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split, scan
 from tidemark.operators.sessions import sessions
 from tidemark.operators.watermark import (
-    ascending_violations, firing_log, lag_watermark_column, late_rows, watermark_column,
+    ascending_violations, behind_watermark, firing_log, lag_watermark_column, late_rows, watermark_column,
 )
 from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_content, window_start
 from tidemark.operators.wordcount import running_count, windowed_word_count, word_count
@@ -244,12 +244,20 @@ def late_side_output(spark, d):
     return plain_times(late_rows(marked, "ts", HOUR, 2 * HOUR).select("event_id", "user_id", "ts", "watermark"))
 
 
-def late_by_lag(spark, d):
+def _lagged(spark, d) -> DataFrame:
+    """Events with a watermark two hours behind an ingest clock; the clock runs half an hour ahead of the newest time seen."""
     ev = events(spark, d)
     clock = scan(ev, [], ARRIVAL, [greatest("ts", "clock")], split=plan_split(ev, [], ARRIVAL))
     stamped = clock.withColumn("ingest", F.col("clock") + F.expr("INTERVAL '30' MINUTE"))
-    marked = lag_watermark_column(stamped, "ingest", 2 * HOUR)
-    return plain_times(late_rows(marked, "ts", HOUR).select("event_id", "ts", "watermark"))
+    return lag_watermark_column(stamped, "ingest", 2 * HOUR)
+
+
+def late_by_lag(spark, d):
+    return plain_times(behind_watermark(_lagged(spark, d), "ts").select("event_id", "ts", "watermark"))
+
+
+def late_windows_by_lag(spark, d):
+    return plain_times(late_rows(_lagged(spark, d), "ts", HOUR).select("event_id", "ts", "watermark"))
 
 
 def delta_top(spark, d):
@@ -355,6 +363,33 @@ def telemetry_top_speed(spark, d):
     )
 
 
+def line_parse(spark, d):
+    """One event written in every line format and read back."""
+    ev = events(spark, d)
+    kind, user, ms = F.col("event_type"), F.col("user_id").cast("string"), F.unix_millis("ts")
+    text_ms = ms.cast("string")
+    number = F.col("event_id").cast("double").cast("string")
+    bracketed = F.concat(F.lit("("), F.concat_ws(",", user, user, number, text_ms), F.lit(")"))
+    nothing = F.lit(None).cast("string")
+
+    def read(lines: DataFrame, parser: P.LineParser, form: str, name: Column, number: Column, at: Column) -> DataFrame:
+        rows = P.parse(lines, parser, "fail").rows
+        return rows.select("event_id", F.lit(form).alias("form"), name.alias("name"), number.cast("bigint").alias("number"), at.alias("at"))
+
+    parts = [
+        read(_lines(ev, [kind, text_ms, user], "@"), P.CAR_TEXT, "car", F.col("car_kind"), F.col("car_sum"), F.col("ts_ms")),
+        read(_lines(ev, [kind, text_ms], ","), P.KEYED, "keyed", F.col("key"), nothing, F.col("ts_ms")),
+        read(_lines(ev, [kind, user, F.date_format("ts", COMPACT)], ","), P.COUNTED, "counted", F.col("key"), F.col("n"), F.col("ts_ms")),
+        read(_lines(ev, [kind, user, F.lit("x")], ","), P.PERSON, "person", F.col("name"), F.col("age"), F.lit(None).cast("bigint")),
+        read(_lines(ev, [kind, user], " "), P.JOB, "job", F.col("name"), F.col("job"), F.lit(None).cast("bigint")),
+        read(_lines(ev, [bracketed], ""), P.TELEMETRY, "telemetry", F.col("id").cast("string"), F.col("distance"), F.col("ts_ms")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def people_jobs(spark, d):
     ev = events(spark, d)
     people = ev.where("event_type = 'view'").select(
@@ -439,6 +474,7 @@ QUERIES = {
     "firing_final": firings_final,
     "late_rows": late_side_output,
     "lag_watermark_late": late_by_lag,
+    "lag_window_late": late_windows_by_lag,
     "delta_trigger_top": delta_top,
     "map_filter": map_filter,
     "arithmetic": arithmetic,
@@ -451,6 +487,7 @@ QUERIES = {
     "keyed_line_windows": keyed_line_windows,
     "counted_line_windows": counted_line_windows,
     "telemetry_top_speed": telemetry_top_speed,
+    "line_parse": line_parse,
     "people_jobs_join": people_jobs,
     "job_lines": job_lines,
     "person_lines": person_lines,
