@@ -317,3 +317,14 @@ def test_ordered_reduce_on_a_stream(spark, tmp_path):
     out = run(windowed_stream(df, ["key"], "ts", 10_000, [total("arr"), joined("text", ["arr"], "|", "t")], 5000), tmp_path, "update", True)
     last = {(r["key"], ms_of(r["window_start"])): (r["sum_arr"], r["t"]) for _, r in out}
     assert last == {("a", 0): (4, "8000|2000|1000"), ("b", 0): (2, "2500"), ("a", 10_000): (4, "11000")}
+
+
+def test_late_split_with_empty_batches(spark, tmp_path):
+    split = LateSplit(f"{tmp_path}/out", ["key"], "ts", 3000, [count_rows()], 0)
+    for i, rows in enumerate([[], [("a", 1000, 0), ("a", None, 1)], [], [("a", 9000, 2), ("a", 500, 3)], [("a", 600, 4)]]):
+        split(spark.createDataFrame(rows, M2_SCHEMA).withColumn("ts", from_millis("ms")), i)
+    results = spark.read.parquet(f"{tmp_path}/out/results").collect()
+    assert {(ms_of(r["window_start"]), r["n"]) for r in results} == {(0, 2)}
+    assert [(ms_of(r["window_start"]), r["n"]) for r in split.flush(spark, 4).collect()] == [(9000, 1)]
+    late = spark.read.schema(f"{M2_SCHEMA}, batch int").parquet(f"{tmp_path}/out/late").collect()
+    assert [r["arr"] for r in late] == [4]
