@@ -96,15 +96,21 @@ def log_ratios(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int)
     return ratio
 
 
-def fit(found: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, steps: int = 300, decay: float = 1e-3):
+def fit(found: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, steps: int = 400, decay: float = 1e-4):
     """Logistic regression on the ratios of the features that a text holds, by accelerated gradient descent."""
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
     names, cols = np.unique(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64), return_inverse=True)
     scale = ratio[names]
     weights, bias = np.ones(len(names)) * 0.1, np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))
     values = scale[cols]
-    bound = np.bincount(rows, values ** 2, len(labels)).max(initial=0) * 0.25 + 0.25
-    rate, ahead, ahead_bias = 4 / bound, weights.copy(), bias
+    # The largest curvature, by power iteration, sets the step.
+    probe, curve = np.ones(len(names) + 1), 1.0
+    for _ in range(30):
+        probe /= np.linalg.norm(probe)
+        margin = np.bincount(rows, values * probe[cols], len(labels)) + probe[-1]
+        probe = np.append(np.bincount(cols, values * margin[rows], len(names)), margin.sum()) / len(labels)
+        curve = np.linalg.norm(probe)
+    rate, ahead, ahead_bias = 1 / (0.3 * curve + decay), weights.copy(), bias
     for step in range(steps):
         margin = np.bincount(rows, values * ahead[cols], len(labels)) + ahead_bias
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels
