@@ -17,8 +17,8 @@ from tidemark.llm.words import Words, text_parts
 WINDOW = 4096
 END_ID = 2
 SENTENCE_PENALTY = 8
-INNER_PENALTY = 64
-LONGEST_GAP = 256
+INNER_PENALTY = 16
+LONGEST_GAP = 64
 PART_BYTES = 1 << 23
 SENTENCE_END = np.zeros(256, dtype=bool)
 SENTENCE_END[[ord(c) for c in ".!?"]] = True
@@ -146,8 +146,8 @@ def pack_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Documents follow each other in the order in which the partitions of ``docs`` hold them (sort or range-partition it first
     for another order), each followed by id 2.  Windows end where padding plus penalties for cutting a document is least: ends
-    of documents cost nothing, ends of sentences as much as 8 ids of padding, and every 256 ids inside a longer sentence
-    64.  Each partition is packed by itself while it is read, part by part (about 8 MB of text); the last window of a part
+    of documents cost nothing, ends of sentences as much as 8 ids of padding, and every 64 ids inside a longer sentence
+    16.  Each partition is packed by itself while it is read, part by part (about 8 MB of text); the last window of a part
     stays open for the next.  No shuffle takes place, and only the last window of a partition may be far from full.
 
     ``sequence_id`` is the partition's number times 2^40 plus the window's.  Null and empty texts are the id 2 alone.  Rows
