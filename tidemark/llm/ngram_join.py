@@ -14,13 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
-from tidemark.llm.shared import dropped, written
+from tidemark.llm.linking import linked_components, shared_tiles
+from tidemark.llm.shared import written
 from tidemark.llm.words import Words, mix, shingle_numbers, text_parts
 
 WIDTH = 3
 BITMAP_WORDS = 16
-BLOCK = 256
 SET_SCHEMA = "doc_id long, n long, d1 long, d2 long, tiles array<long>"
 PAYLOAD_SCHEMA = "doc_id long, n long, bits array<long>, elements binary"
 
@@ -160,10 +159,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     1. Equal sets become one class, named by its smallest id; the rest works on classes.
     2. Classes meet in tiles (see the module).  Tiles of one class are dropped by a count before the shuffle.
-    3. Every tile gets a hub, the class that shares most tiles with others, and each class is compared with the hubs of
-       its tiles only.  A large group of near copies is so linked without its pairs.
-    4. Tiles whose classes are still in several components are compared in full, in blocks of ``BLOCK`` rows, so that no
-       link is lost; pairs within a component are not looked at again.
+    3. Classes are compared with the hubs of their tiles, and where that leaves several components in a tile, in full (see
+       ``linked_components``).  No link is lost, and a large group of near copies is linked without its pairs.
 
     A comparison bounds the intersection by bit counts and then intersects the sorted arrays.  Empty texts (null counts as
     empty) have an empty set and link with nothing.  Rows of a repeated id are one node.  A row without an id takes
@@ -173,39 +170,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets = written(texts.mapInArrow(_sets, SET_SCHEMA), "sets")
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").alias("node"), F.first("tiles").alias("tiles"))
-    tiles = classes.select("node", F.explode("tiles").alias("tile"))
-    shared = tiles.groupBy("tile").agg(F.count("*").alias("m")).where("m > 1")
-    tiles = written(tiles.join(shared, "tile"), "tiles")
-
-    scores = tiles.groupBy("node").agg(F.sum("m").alias("score"))
-    scored = tiles.join(scores, "node")
-    hubs = scored.groupBy("tile").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("hub"))
-    pairs = written(scored.join(hubs, "tile").where("node <> hub")
-                    .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
+    tiles = written(shared_tiles(classes.select("node", F.explode("tiles").alias("tile"))), "tiles")
     used = tiles.select(F.col("node").alias("used")).distinct()
-    payload = written(texts.join(used, F.col("doc_id") == F.col("used"), "left_semi").dropDuplicates(["doc_id"])
-                      .mapInArrow(_payload, PAYLOAD_SCHEMA), "payload")
-    links = written(_verified(pairs, payload), "links")
-    first = written(components(links, "a", "b"), "components")
-
-    # What hubs have not joined: tiles with several components.
-    part = F.coalesce("component", "node").alias("part")
-    parted = tiles.join(first.withColumnRenamed("node", "first_node"), F.col("node") == F.col("first_node"), "left")
-    parted = parted.select("tile", "node", part)
-    open_tiles = (parted.groupBy("tile").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("m"))
-                  .where("low < high").select(F.col("tile").alias("open_tile"), F.ceil(F.col("m") / BLOCK).alias("blocks")))
-    rest = written(parted.join(open_tiles, F.col("tile") == F.col("open_tile")).drop("open_tile"), "rest")
-    with_bits = rest.join(_side(payload, "a", elements=False), F.col("node") == F.col("a_id"))
-    left = with_bits.select("tile", F.col("node").alias("a"), F.col("part").alias("a_part"), "a_n", "a_bits",
-                            F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-    right = (with_bits.select(F.col("tile").alias("b_tile"), F.col("node").alias("b"), F.col("part").alias("b_part"),
-                              F.col("a_n").alias("b_n"), F.col("a_bits").alias("b_bits"),
-                              F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b_block")))
-    across = left.join(right, (F.col("tile") == F.col("b_tile")) & (F.col("block") == F.col("b_block"))
-                       & (F.col("a") > F.col("b")) & (F.col("a_part") != F.col("b_part")) & _possible("a", "b"))
-    more = _verified(across.select("a", "b").distinct(), payload)
-    known = first.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-    final = components(known.union(more), "a", "b")
+    payload = written(texts.join(used, F.col("doc_id") == F.col("used"), "left_semi").mapInArrow(_payload, PAYLOAD_SCHEMA)
+                      .dropDuplicates(["doc_id"]), "payload")
+    facts = payload.select(F.col("doc_id").alias("node"), "n", "bits")
+    final = linked_components(tiles, lambda pairs: _verified(pairs, payload), facts, _possible("a", "b"))
 
     names = classes.select(F.col("n").alias("class_n"), F.col("d1").alias("class_1"), F.col("d2").alias("class_2"), "node")
     members = sets.join(names, (F.col("n") == F.col("class_n")) & (F.col("d1") == F.col("class_1"))
