@@ -2,7 +2,9 @@
 
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
 from tidemark.llm.exact import EXACT_SQL, op9_exact_dedup
+from tidemark.llm.mixing import op4_lm_scoring
 from tidemark.llm.ngram_join import op8_ngram_jaccard_join
+from tidemark.llm.page_text import op2_page_text
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.passages import op3_substring_dedup
 from tidemark.llm.pii import op10_pii
@@ -11,7 +13,9 @@ from tidemark.llm.toxicity import op7_toxicity
 
 LLM_QUERIES = {
     "op1_token_matrix": op1_token_matrix,
+    "op2_page_text": op2_page_text,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_packing": op5_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
