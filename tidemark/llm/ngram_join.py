@@ -14,12 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.linking import linked_components, shared_tiles
+from tidemark.llm.linking import bitmap, likely_pairs, linked_components, possible, shared_tiles
 from tidemark.llm.shared import written
 from tidemark.llm.words import Words, mix, shingle_numbers, text_parts
 
 WIDTH = 3
-BITMAP_WORDS = 16
 SET_SCHEMA = "doc_id long, n long, d1 long, d2 long, tiles array<long>"
 PAYLOAD_SCHEMA = "doc_id long, n long, bits array<long>, elements binary"
 
@@ -105,10 +104,8 @@ def _payload(batches):
         for ids, texts in text_parts(batch.column(0), batch.column(1)):
             sizes, bits, elements = [], [], []
             for own in doc_sets(texts):
-                bitmap = np.zeros(BITMAP_WORDS * 64, dtype=np.uint8)
-                bitmap[(own % np.uint64(BITMAP_WORDS * 64)).astype(np.int64)] = 1
                 sizes.append(len(own))
-                bits.append(np.packbits(bitmap).view(np.int64).tolist())
+                bits.append(bitmap(own))
                 elements.append(own.tobytes())
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64())),
@@ -128,29 +125,16 @@ def _linked(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _possible(x: str, y: str):
-    """Whether sizes and bitmaps allow a link.  A bit set on one side only stands for an element of that side only, so the
-    intersection is at most the size less such bits."""
-    alone = ("aggregate(zip_with({0}_bits, {1}_bits, (p, q) -> bit_count(p & ~q)), 0, (s, v) -> s + v)")
-    most = f"least({x}_n - {alone.format(x, y)}, {y}_n - {alone.format(y, x)})"
-    return F.expr(f"9 * greatest({x}_n, {y}_n) <= 10 * least({x}_n, {y}_n) "
-                  f"AND 19 * ({most}) >= 9 * ({x}_n + {y}_n)")
-
-
-def _side(payload: DataFrame, side: str, *, elements: bool) -> DataFrame:
-    named = [F.col("doc_id").alias(f"{side}_id")]
-    if elements:
-        return payload.select(*named, F.col("elements").alias({"a": "x", "b": "y"}[side]))
-    return payload.select(*named, F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
+def _side(payload: DataFrame, side: str, name: str) -> DataFrame:
+    return payload.select(F.col("doc_id").alias(f"{side}_id"), F.col("elements").alias(name))
 
 
 def _verified(pairs: DataFrame, payload: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link: bitmaps first, and the arrays only of what the bitmaps leave."""
-    likely = (pairs.join(_side(payload, "a", elements=False), F.col("a") == F.col("a_id"))
-              .join(_side(payload, "b", elements=False), F.col("b") == F.col("b_id"))
-              .where(_possible("a", "b")).select("a", "b"))
-    full = (likely.join(_side(payload, "a", elements=True), F.col("a") == F.col("a_id")).drop("a_id")
-            .join(_side(payload, "b", elements=True), F.col("b") == F.col("b_id")).select("a", "b", "x", "y"))
+    facts = payload.select(F.col("doc_id").alias("node"), "n", "bits")
+    full = (likely_pairs(pairs, facts, possible(9, 10))
+            .join(_side(payload, "a", "x"), F.col("a") == F.col("a_id"))
+            .join(_side(payload, "b", "y"), F.col("b") == F.col("b_id")).select("a", "b", "x", "y"))
     return full.mapInArrow(_linked, "a long, b long")
 
 
@@ -175,7 +159,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     payload = written(texts.join(used, F.col("doc_id") == F.col("used"), "left_semi").mapInArrow(_payload, PAYLOAD_SCHEMA)
                       .dropDuplicates(["doc_id"]), "payload")
     facts = payload.select(F.col("doc_id").alias("node"), "n", "bits")
-    final = linked_components(tiles, lambda pairs: _verified(pairs, payload), facts, _possible("a", "b"))
+    final = linked_components(tiles, lambda pairs: _verified(pairs, payload), facts, possible(9, 10))
 
     names = classes.select(F.col("n").alias("class_n"), F.col("d1").alias("class_1"), F.col("d2").alias("class_2"), "node")
     members = sets.join(names, (F.col("n") == F.col("class_n")) & (F.col("d1") == F.col("class_1"))

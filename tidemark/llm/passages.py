@@ -10,12 +10,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.linking import linked_components, shared_tiles
-from tidemark.llm.shared import dropped, written
+from tidemark.llm.linking import bitmap, likely_pairs, linked_components, possible, shared_tiles
+from tidemark.llm.shared import written
 from tidemark.llm.words import Words, mix, text_parts
 
 WIDTH = 5
@@ -108,7 +107,7 @@ def _shingle_sets(batches):
         for _, texts in text_parts(batch.column("doc_id"), batch.column("text")):
             words = Words(texts)
             shingles = words.shingles(WIDTH)
-            nodes, sets, sizes = [], [], []
+            nodes, sets, sizes, bits = [], [], [], []
             for i in range(len(texts)):
                 for unit in wanted[at + i]:
                     a = int(words.first[i]) + unit["start"]
@@ -116,9 +115,11 @@ def _shingle_sets(batches):
                     nodes.append(unit["node"])
                     sets.append(own.tobytes())
                     sizes.append(len(own))
+                    bits.append(bitmap(own))
             at += len(texts)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                                              pa.array(sets, pa.binary())], ["node", "n", "elements"])
+                                              pa.array(bits, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
+                                             ["node", "n", "bits", "elements"])
 
 
 def _similar(batches):
@@ -156,16 +157,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
            .agg(F.min("doc_id").alias("unit_doc"), F.min_by("start", "doc_id").alias("start"), F.min("n_words").alias("n_words")))
     wanted = one.groupBy("unit_doc").agg(F.collect_list(F.struct("node", "start", "n_words")).alias("wanted"))
     sets = texts.join(wanted, F.col("doc_id") == F.col("unit_doc")).select("doc_id", "text", "wanted")
-    sets = written(sets.mapInArrow(_shingle_sets, "node long, n long, elements binary").dropDuplicates(["node"]), "sets")
+    sets = written(sets.mapInArrow(_shingle_sets, "node long, n long, bits array<long>, elements binary").dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("a_node"), F.col("elements").alias("x"))
         b = sets.select(F.col("node").alias("b_node"), F.col("elements").alias("y"))
-        full = pairs.join(a, F.col("a") == F.col("a_node")).join(b, F.col("b") == F.col("b_node"))
+        likely = likely_pairs(pairs, sets.select("node", "n", "bits"), possible(4, 5))
+        full = likely.join(a, F.col("a") == F.col("a_node")).join(b, F.col("b") == F.col("b_node"))
         return full.select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long")
 
-    near = linked_components(tiles, verified, sets.select("node", "n"),
-                             F.expr(f"least(a_n, b_n) >= {SIMILARITY} * greatest(a_n, b_n)"))
+    near = linked_components(tiles, verified, sets.select("node", "n", "bits"), possible(4, 5))
     near = written(near, "near")
 
     # Where each cluster occurs.
