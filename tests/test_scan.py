@@ -178,3 +178,29 @@ def test_empty_and_single(spark):
     assert scan(empty, [], ["arr"], [count_rows()], split=plan_split(empty, [], ["arr"])).count() == 0
     one = spark.createDataFrame([("a", 1, 1, 1)], SCHEMA)
     assert scan(one, [], ["arr"], [count_rows()], split=plan_split(one, [], ["arr"])).first()["n"] == 1
+
+
+def test_every_hot_key_is_cut_and_order_types_are_checked_first(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.scan import BUCKET, plan_split
+
+    rows = spark.range(5000).select((F.col("id") % 50).alias("k"), F.col("id").alias("n"))
+    split = plan_split(rows, ["k"], ["n"], hot_rows=10)
+    whole = split.assign(rows).groupBy("k").agg(F.min(BUCKET).alias("low")).where("low = 0")
+    assert whole.count() == 0
+    for kind in ("string", "date", "timestamp_ntz", "decimal(20,2)"):
+        value = F.date_add(F.lit("2020-01-01"), F.col("n").cast("int")) if kind in ("date", "timestamp_ntz") else F.col("n")
+        typed = rows.withColumn("n", value.cast(kind))
+        assert plan_split(typed, ["k"], ["n"], hot_rows=10).assign(typed).select(BUCKET).distinct().count() > 10
+    with pytest.raises(TypeError):
+        plan_split(rows.withColumn("n", F.array("n")), ["k"], ["n"], hot_rows=10_000)
+
+
+def test_inner_separators_are_split_in_linear_time(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.parse import space_tokens
+
+    row = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.lit(300_000)), F.lit("b ")).alias("t"))
+    assert row.select(F.size(space_tokens("t"))).first()[0] == 300_001

@@ -23,14 +23,16 @@ CAR_JSON = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 _CORRUPT = "_corrupt"
+# What the pattern \\s stands for.
+WHITE_SPACE = " \t\n\x0b\f\r"
 
 
 def split_like_java(text: Column, pattern: str) -> Column:
-    """Split at a one-character pattern, without trailing empty parts; leading and inner ones stay, and empty text is one empty part."""
-    stripped = F.regexp_replace(text, rf"(?:{pattern})+\z", "")
-    trimmed = F.when(stripped != "", F.split(stripped, pattern)).otherwise(F.array().cast("array<string>"))
-    # The regular expression only runs where the text ends in a separator.
-    return F.when(F.right(text, F.lit(1)).rlike(pattern), trimmed).otherwise(F.split(text, pattern))
+    """Split at a character or ``\\s``, without trailing empty parts; leading and inner ones stay, and empty text is one empty part."""
+    # Trimming is linear in the text; a regular expression anchored at the end is not.
+    stripped = F.rtrim(text, F.lit(WHITE_SPACE if pattern == r"\s" else pattern))
+    parts = F.split(stripped, pattern)
+    return F.when((stripped == "") & (text != ""), F.array().cast("array<string>")).otherwise(parts)
 
 
 def _part(parts: Column, i: int) -> Column:

@@ -23,8 +23,6 @@ from tidemark.functions.aggregates import Agg, final_columns, merged, merges, st
 # A group of at most this many rows may be sorted by one task; the session setting overrides the number.
 HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.tidemark.hotRows"
-# Bounds the lists that pass through the driver and the broadcast: hot keys, and range borders.
-MAX_RANGES = 20_000
 # So many order columns take part in cutting; range numbers then still fit 64 bits.
 MAX_LEVELS = 4
 BUCKET = "_bucket"
@@ -43,16 +41,27 @@ def _sortable(df: DataFrame, col: str) -> Column:
     kind = df.schema[col].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(F.col(col)).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        since = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(col))
+        return since.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(col)).cast("double")
+    if isinstance(kind, T.StringType):
+        # The first six bytes; texts are ordered by their bytes.
+        first = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         # The two zeros are one value in Spark's order.
         return F.when(F.col(col) == 0, F.lit(0.0)).otherwise(F.col(col).cast("double"))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         return F.col(col).cast("double")
-    raise TypeError(f"order column {col} must be numeric or TIMESTAMP, not {kind.simpleString()}")
+    raise TypeError(f"order column {col} must be a number, boolean, date, time or text, not {kind.simpleString()}")
 
 
 def _is_one_value(kind: T.DataType, v: float) -> bool:
     """Does the double stand for a single value of the column?  Only such a value may be cut by the next column."""
+    if isinstance(kind, T.StringType):
+        return False
     return isinstance(kind, (T.FloatType, T.DoubleType)) or (not isinstance(kind, T.DecimalType) and abs(v) < 2**53)
 
 
@@ -105,8 +114,8 @@ class Split:
         same = F.lit(True)
         for k, n in zip(self.keys, names):
             same = same & F.col(k).eqNullSafe(F.col(n))
-        # The hot list has at most MAX_RANGES rows, see plan_split.
-        return df.join(F.broadcast(hot), same, "left").drop(*names)
+        # Spark broadcasts the list if it is small, and splits the hot keys' rows if it is not.
+        return df.join(hot, same, "left").drop(*names)
 
     def hot_rows(self, df: DataFrame) -> DataFrame:
         return self._mark_hot(df).where("_is_hot").drop("_is_hot")
@@ -134,29 +143,31 @@ def plan_split(
     """Look for groups too large for one task; None if there are none.
 
     Runs a counting job (key columns only, map-side combined) and, only if hot groups exist, a quantile job.  Hot is
-    what holds more than ``hot_rows`` rows, taken largest first up to MAX_RANGES groups; any group beyond these holds less
-    than 1/MAX_RANGES of all rows.  Without keys all rows form one group, which is always cut.
+    what holds more than ``hot_rows`` rows; the list stays a DataFrame.  Without keys all rows form one group, which is
+    always cut.  Order columns of a type that cannot be cut are refused whether or not a group is hot.
 
     ``buckets``, the number of ranges, follows the hot rows: at least the shuffle parallelism, and enough that a range
     holds about ``hot_rows`` rows.
     """
+    for col in order:
+        _sortable(df, col)
     conf = df.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     hot = None
     rows = df
     if keys:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_RANGES).collect()
-        if not found:
+        large = counts.where(F.col("_n") > hot_rows)
+        size = large.agg(F.sum("_n")).first()[0]
+        if not size:
             return None
-        size = sum(r["_n"] for r in found)
-        hot = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], df.select(*keys).schema)
+        hot = large.select(*keys)
         rows = Split(tuple(keys), (), hot, ()).hot_rows(df.select(*dict.fromkeys([*keys, *order])))
     else:
         size = df.count()
     if buckets is None:
         parallelism = max(2, int(conf.get("spark.sql.shuffle.partitions")))
-        buckets = min(MAX_RANGES, max(parallelism, math.ceil(size / hot_rows)))
+        buckets = max(parallelism, math.ceil(size / hot_rows))
     levels: list[Level] = []
     for col in order[:MAX_LEVELS]:
         level = _cut_points(rows, col, buckets)

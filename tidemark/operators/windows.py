@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,9 +14,6 @@ from tidemark.functions.aggregates import (
 from tidemark.functions.times import micros, ms
 from tidemark.operators.scan import BUCKET, Split, scan
 
-# More window copies per row than this, and a sliding window is built from panes.
-MAX_COPIES = 4
-
 
 def window_start(ts: Column | str, size_ms: int) -> Column:
     """Start of the epoch-aligned tumbling window that holds ``ts``."""
@@ -34,11 +32,11 @@ def tumbling(
     """Aggregates per key and window ``[window_start, window_end)``; with ``slide_ms`` each row is in several windows.
 
     Works on a table, and on a stream whose ``ts`` carries a watermark.  One shuffle of partial aggregates.  A
-    table with many overlapping windows per row goes through panes of one slide, so rows are not copied.
+    table with overlapping windows goes through panes as wide as the greatest common divisor of size and slide, so rows are
+    not copied; only the panes' partial aggregates are.
     """
     slide = slide_ms or size_ms
-    copies = -(-size_ms // slide)
-    if copies > MAX_COPIES and size_ms % slide == 0 and not df.isStreaming:
+    if slide < size_ms and not df.isStreaming:
         return _from_panes(df, keys, ts, size_ms, slide, aggs)
     if slide > size_ms:
         # Windows with gaps between them: rows in a gap belong to none.
@@ -58,15 +56,19 @@ def sliding(
 
 
 def _from_panes(df: DataFrame, keys: Sequence[str], ts: str, size_ms: int, slide_ms: int, aggs: Sequence[Agg]) -> DataFrame:
-    names = state_names(aggs)
+    names, pane_ms = state_names(aggs), math.gcd(size_ms, slide_ms)
     states = df.where(F.col(ts).isNotNull()).select(
-        *keys, window_start(ts, slide_ms).alias("_pane"), *state_columns(aggs)
+        *keys, window_start(ts, pane_ms).alias("_pane"), *state_columns(aggs)
     )
     panes = merged(states, [*keys, "_pane"], aggs)
-    back = F.explode(F.sequence(F.lit(0), F.lit(size_ms // slide_ms - 1))).alias("_back")
-    copies = panes.select("*", back).select(
+    # Windows start at multiples of the slide: the last one that holds the pane, and those before it that still reach it.
+    width, step = F.lit(size_ms * 1000), F.lit(slide_ms * 1000)
+    last = micros("_pane") - F.pmod(micros("_pane"), step)
+    first = last - F.floor((width - F.lit(pane_ms * 1000) - F.pmod(micros("_pane"), step)) / step) * step
+    starts = F.when(first <= last, F.sequence(first.cast("bigint"), last, step.cast("bigint")))
+    copies = panes.select("*", F.explode(starts).alias("_start")).select(
         *keys,
-        F.timestamp_micros(micros("_pane") - F.col("_back") * F.lit(slide_ms * 1000)).alias("window_start"),
+        F.timestamp_micros("_start").alias("window_start"),
         *names,
     )
     windows = merged(copies, [*keys, "window_start"], aggs)

@@ -67,6 +67,21 @@ def car_firings(
     return log, late_rows(marked, "ts", size_ms, lateness_ms)
 
 
+def car_late(
+    lines: DataFrame,
+    arrival: Sequence[str],
+    size_ms: int = 3000,
+    delay_ms: int = 3500,
+    lateness_ms: int = 5000,
+    parser: P.LineParser = P.CAR_TEXT,
+    mode: str = "fail",
+) -> DataFrame:
+    """The rows that come too late for the car windows, without planning the log of ``car_firings``."""
+    rows = staged(_timed(lines, parser, mode))
+    marked = watermark_column(rows, "ts", arrival, delay_ms, plan_split(rows, [], arrival))
+    return late_rows(marked, "ts", size_ms, lateness_ms)
+
+
 def keyed_windows(lines: DataFrame, size_ms: int = 3000, mode: str = "fail") -> DataFrame:
     """Count, earliest and latest time per key and window."""
     aggs = [count_rows("n"), least("ts", "first_ts"), greatest("ts", "last_ts")]

@@ -117,6 +117,15 @@ ORACLES = {
         "6 hours", "CAST(sum(event_id) AS BIGINT) AS sum_id, arg_min(event_type, (arr, event_id)) AS event_type"),
     "slide_sum": _sliding(2, 1, "round(sum(value), 4) AS sum_value"),
     "slide_count": _sliding(2, 1, "count(*) AS n"),
+    "sum_lines": f"""
+    WITH {EVENTS}, w AS (
+      SELECT user_id, event_id, ts, {bucket('4 hours')} - to_hours(4 * i) AS window_start FROM ev, range(3) t(i))
+    SELECT user_id, epoch_ms(window_start) AS start_ms, 'key:' || user_id || '    carSum:  ' || CAST(sum(event_id) AS BIGINT) AS line
+    FROM w WHERE ts < window_start + INTERVAL '10 hours' GROUP BY user_id, window_start""",
+    "click_lines": f"""
+    WITH {EVENTS}, w AS (
+      SELECT event_type, {bucket('1 hours')} - to_hours(i) AS window_start FROM ev, range(2) t(i))
+    SELECT event_type, epoch_ms(window_start) AS start_ms, 'clickNum:' || count(*) AS line FROM w GROUP BY event_type, window_start""",
     "slide_panes": _sliding(24, 2, "count(*) AS n, min(ts) AS min_ts, arg_max(event_id, (arr, event_id)) AS last_id"),
     "session_sum": f"""
     WITH {EVENTS}, g AS (

@@ -76,6 +76,18 @@ def slide_sum(spark, d):
     return plain_times(out.withColumn("sum_value", money("sum_value")))
 
 
+def sum_lines(spark, d):
+    """Printed lines of a sliding sum; 10 hours every 4 is no whole number of slides."""
+    out = sliding(events(spark, d), ["user_id"], "ts", 10 * HOUR, 4 * HOUR, [total("event_id", "total")])
+    return out.select("user_id", F.unix_millis("window_start").alias("start_ms"), payload.sum_line("user_id").alias("line"))
+
+
+def click_lines(spark, d):
+    """Printed lines of a sliding count."""
+    out = sliding(events(spark, d), ["event_type"], "ts", 2 * HOUR, HOUR, [count_rows("n")])
+    return out.select("event_type", F.unix_millis("window_start").alias("start_ms"), payload.click_line().alias("line"))
+
+
 def slide_count(spark, d):
     return plain_times(sliding(events(spark, d), ["user_id"], "ts", 2 * HOUR, HOUR, [count_rows("n")]))
 
@@ -322,7 +334,7 @@ def json_car_firings(spark, d):
 def text_car_late(spark, d):
     ev = events(spark, d)
     cells = [F.col("event_type"), F.unix_millis("ts").cast("string"), F.col("user_id").cast("string")]
-    _, late = jobs.car_firings(_lines(ev, cells, "@"), ARRIVAL, HOUR, 30 * MINUTE, HOUR)
+    late = jobs.car_late(_lines(ev, cells, "@"), ARRIVAL, HOUR, 30 * MINUTE, HOUR)
     return late.select("event_id", "car_kind", "ts_ms", "car_sum")
 
 
@@ -447,6 +459,8 @@ QUERIES = {
     "tumble_sum_first": tumble_sum_first,
     "slide_sum": slide_sum,
     "slide_count": slide_count,
+    "sum_lines": sum_lines,
+    "click_lines": click_lines,
     "slide_panes": slide_panes,
     "session_sum": session_sum,
     "ingest_window_fold": ingest_window_fold,

@@ -66,9 +66,9 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str])
 
 
 def merge_statement(table: str, stage: str, keys: Sequence[str], columns: Sequence[str]) -> str:
-    """Standard MERGE from a stage table: replace rows with equal keys, insert the others."""
+    """Standard MERGE from a stage table: replace rows with equal keys (null equals null), insert the others."""
     rest = [c for c in columns if c not in keys]
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    on = " AND ".join(f"(t.{k} = s.{k} OR t.{k} IS NULL AND s.{k} IS NULL)" for k in keys)
     update = f" WHEN MATCHED THEN UPDATE SET {', '.join(f'{c} = s.{c}' for c in rest)}" if rest else ""
     return (
         f"MERGE INTO {table} AS t USING {stage} AS s ON {on}{update}"
@@ -78,14 +78,14 @@ def merge_statement(table: str, stage: str, keys: Sequence[str], columns: Sequen
 
 def replace_into_jdbc(
     url: str, table: str, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-    properties: dict[str, str], statement: str | None = None,
+    properties: dict[str, str], statement: str | None = None, stage: str | None = None,
 ) -> BatchFunction:
     """Keyed replace of each micro-batch (or table): newest row per key to a stage table, then one MERGE in the database.
 
     ``properties`` holds user, password and driver and comes from the caller's secrets.  ``statement`` replaces the MERGE for databases
-    with another spelling.  Repeating a batch leaves the table as it was.
+    with another spelling; ``stage`` names the stage table, and streams into one table need one each.  Repeating a batch leaves the table as it was.
     """
-    stage = f"{table}_stage"
+    stage = stage or f"{table}_stage"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest_by_key(batch.select(*dict.fromkeys([*columns, *order])), keys, order).select(*columns)

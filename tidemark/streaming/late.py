@@ -41,6 +41,12 @@ class LateSplit:
     def _high(self, spark: SparkSession, batch_id: int) -> int | None:
         return spark.read.parquet(self._dir("high", batch_id)).first()["high"] if batch_id >= 0 else None
 
+    def _refuse_old(self, spark: SparkSession) -> None:
+        """A path that holds later batches belongs to another run; its results would be read as this one's."""
+        place = spark._jvm.org.apache.hadoop.fs.Path(self._dir("high", 1))
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            raise ValueError(f"{self.path} holds the batches of an earlier run")
+
     def _mark(self, high: int | None):
         us = None if high is None else high - self.delay_ms * 1000
         return F.timestamp_micros(F.lit(us).cast("bigint"))
@@ -50,6 +56,8 @@ class LateSplit:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch_id == 0:
+            self._refuse_old(spark)
         rows = batch.where(F.col(self.ts).isNotNull()).persist()
         try:
             before = self._high(spark, batch_id - 1)

@@ -22,7 +22,7 @@ def _in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFram
 
 
 class CountWindows(StatefulProcessor):
-    """After every ``slide`` rows of a key, the last ``n`` values joined in order; tumbling windows when slide = n."""
+    """After every ``slide`` rows of a key, the last ``n`` values joined in order, nulls left out; tumbling windows when slide = n."""
 
     def __init__(self, keys: Sequence[str], order: Sequence[str], n: int, slide: int, sep: str):
         self.keys, self.order, self.n, self.slide, self.sep = list(keys), list(order), n, slide, sep
@@ -38,7 +38,7 @@ class CountWindows(StatefulProcessor):
         values += _in_order(rows, self.order)["row_value"].tolist()
         after = offset + len(values)
         fires = range((before // self.slide + 1) * self.slide, after + 1, self.slide)
-        texts = [self.sep.join(values[max(0, end - self.n - offset): end - offset]) for end in fires]
+        texts = [self.sep.join(v for v in values[max(0, end - self.n - offset): end - offset] if isinstance(v, str)) for end in fires]
         self.seen.update((after,))
         self.tail.put([(v,) for v in values[-self.n:]])
         if texts:
