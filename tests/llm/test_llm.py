@@ -22,7 +22,7 @@ PASSAGE = " ".join(f"pass{i}" for i in range(60)) + "."
 AWKWARD = [
     (1, "Plain text, nothing more."), (1, "Plain text, nothing more."), (2, None), (3, ""), (4, " \t\n "), (None, "No id here."),
     (None, None), (5, LONG), (6, LONG + " "), (7, "Plain text,\nnothing more."), (8, f"Before it. {PASSAGE} After it."),
-    (9, f"Elsewhere.\n{PASSAGE}\nOther end."), (10, "a.b@c.example.org +1 (555) 555-0100 4111 1111 1111 1111 10.20.30.40"),
+    (9, f"Elsewhere.\n{PASSAGE}\nOther end."), (10, "a.b@c.example.org call +1 (555) 555-0100 card 4111 1111 1111 1111 at 10.20.30.40"),
     (11, "x" * 200_000), (12, "é" * 3 + " ß <|endoftext|> don't 12"),
 ]
 SCHEMA = "doc_id long, text string, kept int, row string, score double, `n` int, tiles int, component_id string"
