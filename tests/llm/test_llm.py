@@ -272,6 +272,34 @@ def test_model_is_a_distribution():
     assert np.exp(each.astype(float)).sum(axis=1) == pytest.approx([1, 1, 1], abs=1e-4)
 
 
+def brute_repeats(raw):
+    data, out, run, seen = raw + bytes([mixing.END]), [], 0, {}
+    for i in range(8, len(data)):
+        context = data[i - 8:i]
+        true = context in seen and data[seen[context]] == data[i]
+        if context in seen:
+            out.append((i, min(run.bit_length(), 6), true))
+        run = run + 1 if true else 0
+        seen[context] = i
+    return out
+
+
+def test_repeats_in_a_text():
+    rng = np.random.default_rng(5)
+    texts = [b"", b"a", b"abcdefgh", b"a" * 9, b"a" * 100, *[bytes(rng.integers(97, 99, n).tolist()) for n in range(0, 300, 7)]]
+    for raw in texts:
+        at, run, true = mixing.repeats(raw)
+        assert list(zip(at.tolist(), run.tolist(), true.tolist(), strict=True)) == brute_repeats(raw)
+
+
+def test_repeats_keep_a_distribution():
+    model = mixing.Model(np.zeros(1, np.int8), np.zeros(1, np.int8), np.zeros(1), np.linspace(0.2, 0.99, mixing.RUNS))
+    before = b"once more and once more and once mo"
+    each = np.full((3, len(before) + 2), -math.log(256))
+    last = [model.with_repeats(each, before + bytes([byte]))[:, len(before)] for byte in range(256)]
+    assert np.exp(last).sum(axis=0) == pytest.approx([1, 1, 1]) and max(last, key=max) is last[ord("r")]
+
+
 def test_score_beats_chance(documents):
     rows = rows_of(mixing.lm_scores(documents))
     size = {r.doc_id: len(r.text.encode()) + 1 for r in documents.collect()}
