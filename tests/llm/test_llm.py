@@ -296,7 +296,7 @@ def test_repeats_keep_a_distribution():
     model = mixing.Model(np.zeros(1, np.int8), np.zeros(1, np.int8), np.zeros(1), np.linspace(0.2, 0.99, mixing.RUNS))
     before = b"once more and once more and once mo"
     each = np.full((3, len(before) + 2), -math.log(256))
-    last = [model.with_repeats(each, before + bytes([byte]))[:, len(before)] for byte in range(256)]
+    last = [model.with_repeats(each.copy(), before + bytes([byte]))[:, len(before)] for byte in range(256)]
     assert np.exp(last).sum(axis=0) == pytest.approx([1, 1, 1]) and max(last, key=max) is last[ord("r")]
 
 
