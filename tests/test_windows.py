@@ -12,7 +12,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split
 from tidemark.operators.sessions import sessions
 from tidemark.operators.watermark import (
-    ascending_violations, firing_log, is_late, lag_watermark_column, late_rows, watermark_column,
+    ascending_violations, final_firings, firing_log, is_late, lag_watermark_column, late_rows, watermark_column,
 )
 from tidemark.operators.windows import sliding, tumbling, window_content
 
@@ -154,6 +154,12 @@ def test_firing_log_and_late_rows(spark, size, slide, delay, lateness, hot_rows)
     out = firing_log(marked, ["key"], "ts", ["arr"], size, [count_rows(), total("v")], lateness, slide, split=split)
     got = [(r["key"], us(r["window_start"]), r["firing"], r["cause"], r["arr"], r["n"], r["sum_v"]) for r in out.collect()]
     assert len(got) == len(set(got)) and set(got) == log
+    last = final_firings(marked, ["key"], "ts", size, [count_rows(), total("v")], lateness, slide).collect()
+    want = {}
+    for key, start, firing, _, _, n, v in sorted(log, key=lambda r: r[2]):
+        want[key, start] = (firing, n, v)
+    assert len(last) == len(want)
+    assert {(r["key"], us(r["window_start"])): (r["firing"], r["n"], r["sum_v"]) for r in last} == want
     assert {r["arr"] for r in late_rows(marked, "ts", size, lateness, slide).collect()} == late
 
 

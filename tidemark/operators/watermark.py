@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import (
-    Agg, count_rows, greatest, merged, state_columns, state_names,
+    Agg, count_rows, final_columns, greatest, merged, state_columns, state_names, total,
 )
 from tidemark.functions.times import micros, ms
 from tidemark.operators.scan import Split, scan
@@ -122,6 +122,31 @@ def firing_log(
     )
 
 
+def final_firings(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size_ms: int,
+    aggs: Sequence[Agg],
+    lateness_ms: int = 0,
+    slide_ms: int | None = None,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """The last result of each window of ``firing_log`` and its number, without the log: one aggregation of the rows that are
+    not late.  A window fires once for its on-time rows, if it has any, and once for each later row."""
+    end_us = micros(F.col("_w.end"))
+    rows = df.where(F.col(ts).isNotNull()).withColumn("_w", F.window(ts, ms(size_ms), ms(slide_ms or size_ms)))
+    rows = rows.where(~is_passed(end_us, lateness_ms, watermark))
+    rows = rows.withColumn("_again", is_passed(end_us, 0, watermark).cast("bigint"))
+    rows = rows.withColumns({"window_start": F.col("_w.start"), "_on_time": 1 - F.col("_again")})
+    every = [total("_again", "_agains"), greatest("_on_time", "_any_on_time"), *aggs]
+    group = [*keys, "window_start"]
+    out = merged(rows.select(*group, *state_columns(every)), group, every).select(*group, *final_columns(every))
+    end = F.timestamp_micros(micros("window_start") + F.lit(size_ms * 1000))
+    firing = F.col("_agains") + F.col("_any_on_time")
+    return out.select(*group, end.alias("window_end"), firing.alias("firing"), *[a.name for a in aggs])
+
+
 def _over_state(agg: Agg) -> Agg:
     """The same aggregate over rows that already carry states."""
     return Agg(agg.name, {s: F.col(f"_in{c}") for s, c in agg.state.items()}, agg.merge, agg.final)

@@ -18,7 +18,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split, scan
 from tidemark.operators.sessions import sessions
 from tidemark.operators.watermark import (
-    ascending_violations, behind_watermark, firing_log, lag_watermark_column, late_rows, watermark_column,
+    ascending_violations, behind_watermark, final_firings, firing_log, lag_watermark_column, late_rows, watermark_column,
 )
 from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_content, window_start
 from tidemark.operators.wordcount import running_count, windowed_word_count, word_count
@@ -229,11 +229,14 @@ def out_of_order(spark, d):
     return plain_times(bad.select("event_id", "event_type", "ts", "seen_ts"))
 
 
+def _logged():
+    return [count_rows("n"), total("event_id", "sum_id"), least("ts", "min_ts"), greatest("ts", "max_ts")]
+
+
 def _log(spark, d, size_ms, lateness_ms, slide_ms=None):
     ev, marked = _marked(spark, d, HOUR)
-    aggs = [count_rows("n"), total("event_id", "sum_id"), least("ts", "min_ts"), greatest("ts", "max_ts")]
     return firing_log(
-        marked, ["user_id"], "ts", ARRIVAL, size_ms, aggs, lateness_ms, slide_ms, split=plan_split(ev, ["user_id"], ARRIVAL)
+        marked, ["user_id"], "ts", ARRIVAL, size_ms, _logged(), lateness_ms, slide_ms, split=plan_split(ev, ["user_id"], ARRIVAL)
     )
 
 
@@ -246,9 +249,8 @@ def firings_sliding(spark, d):
 
 
 def firings_final(spark, d):
-    log = _log(spark, d, HOUR, 2 * HOUR)
-    out = R.latest_by_key(log.drop("cause", *ARRIVAL), ["user_id", "window_start"], ["firing"])
-    return plain_times(out)
+    marked = _marked(spark, d, HOUR)[1]
+    return plain_times(final_firings(marked, ["user_id"], "ts", HOUR, _logged(), 2 * HOUR))
 
 
 def late_side_output(spark, d):
