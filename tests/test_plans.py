@@ -43,7 +43,7 @@ def test_hot_key_plans_have_no_large_single_task(spark, name):
 
 
 @pytest.mark.parametrize("name,shuffles", [
-    ("tumble_stats", 1), ("tumble_first_last", 1), ("slide_sum", 1), ("slide_panes", 2), ("session_sum", 1),
+    ("tumble_stats", 1), ("tumble_first_last", 1), ("slide_sum", 2), ("slide_panes", 2), ("session_sum", 1),
     ("word_count", 1), ("running_count", 1), ("count_window", 1), ("count_window_slide", 1), ("reduce_concat", 1),
     ("sorted_window_content", 1), ("max_by_row", 1), ("max_by_window", 1), ("latest_by_key", 1), ("delta_trigger_top", 3),
     ("watermark_column", 2), ("firing_log", 4), ("firing_final", 3), ("union_filter", 0), ("map_filter", 0), ("line_parse", 0),

@@ -33,7 +33,7 @@ def tumbling(
 
     Works on a table, and on a stream whose ``ts`` carries a watermark.  One shuffle of partial aggregates.  A
     table with overlapping windows goes through panes as wide as the greatest common divisor of size and slide, so rows are
-    not copied; only the panes' partial aggregates are.
+    not copied; only the panes' partial aggregates are, in a second shuffle.
     """
     slide = slide_ms or size_ms
     if slide < size_ms and not df.isStreaming:
