@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -248,6 +249,32 @@ def test_overlaps(spark, awkward, empty, documents):
     assert exact_hits <= {(r.doc_id, r.item_id) for r in decontaminate.overlaps(documents, bench).collect()}
 
 
+def brute_overlap(same, least):
+    return any(5 * sum(same[a:b]) >= 4 * (b - a) for a in range(len(same)) for b in range(a + least, len(same) + 1))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([True, True, True, True, False]), min_size=1, max_size=45), min_size=1, max_size=4))
+def test_every_aligned_run_is_found(lines):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(len(same)))) for i, same in enumerate(lines)]
+    docs = ["before it " + " ".join(f"w{i}x{j}" if s else f"other{j}" for j, s in enumerate(same)) + " after it"
+            for i, same in enumerate(lines)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs)), pa.int64()), pa.array(docs)], ["doc_id", "text"])
+    rows = [r for out in decontaminate._overlaps(decontaminate.Seeds(items))([batch]) for r in out.to_pylist()]
+    assert all(r["doc_id"] == r["item_id"] and r["n_same"] >= 0.8 * r["n_words"] for r in rows)
+    want = {i for i, same in enumerate(lines) if brute_overlap(same, min(13, len(same)))}
+    assert {r["doc_id"] for r in rows} == want
+    for r in rows:
+        same = lines[r["doc_id"]][r["item_word"]:r["item_word"] + r["n_words"]]
+        assert (len(same), sum(same)) == (r["n_words"], r["n_same"]) and len(same) >= min(13, r["item_words"])
+
+
+def test_run_around_a_shorter_one_with_as_large_a_score():
+    same = [True] * 4 + [False] + [True] * 4 + [False] + [True] * 3
+    assert decontaminate.best_run(np.array(same), 13) == (0, 13, 11)
+    assert decontaminate.best_run(np.array(same[1:]), 13) is None
+
+
 # 4: language model
 
 

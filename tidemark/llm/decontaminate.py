@@ -7,6 +7,9 @@ word, so copies with substituted words are found too.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,11 +17,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.words import Words, mix, text_parts
 
-# Fixed masks: 1 looks at the word, 0 ignores it.
-MASKS = ("1101100101", "1011001011", "1110010011", "111111")
+# Fixed masks: 1 looks at the word, 0 ignores it.  Every aligned run of 13 words or more with 0.8 equal agrees with one of
+# them somewhere (a run of 26 words has such a run in one of its halves, and all of 13 to 25 words were tried).
+MASKS = ("1111011", "11010001011", "1010001000111")
 LEAST_WORDS = 13
 LEAST_SHARE = 0.8
 BLOCK_WORDS = 1 << 20
+PART_WORDS = 1 << 20
 SCHEMA = ("doc_id long, item_id long, doc_word long, item_word long, n_words long, n_same long, share double, "
           "item_words long")
 
@@ -35,15 +40,51 @@ def seed_numbers(numbers: np.ndarray, mask: str, span: int) -> np.ndarray:
     return mix(out)
 
 
-def best_run(same: np.ndarray) -> tuple[int, int, int]:
-    """Start, length and matches of the aligned run with the largest score, where a match counts 1 and a substitution as
-    much against it as makes ``LEAST_SHARE`` break even."""
-    cost = LEAST_SHARE / (1 - LEAST_SHARE)
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -cost))])
-    least = np.minimum.accumulate(total)
-    end = int(np.argmax(total - least))
-    start = int(np.flatnonzero(total[:end + 1] == least[end])[-1])
-    return start, end - start, int(same[start:end].sum())
+def short_masks(n: int) -> list[str]:
+    """Masks over a whole item of ``n`` words, of which one agrees however the k substitutions that it may have are placed: the
+    words are dealt to k + 2 groups, and a mask looks at two of them."""
+    groups = n - math.ceil(LEAST_SHARE * n) + 2
+    if groups == 2:
+        return ["1" * n]
+    return ["".join("01"[i % groups in pair] for i in range(n)) for pair in itertools.combinations(range(groups), 2)]
+
+
+# What a substitution counts against a run in which a match counts 1: as much as makes ``LEAST_SHARE`` break even.
+COST = round(LEAST_SHARE / (1 - LEAST_SHARE))
+
+
+def best_run(same: np.ndarray, least: int = 1) -> tuple[int, int, int] | None:
+    """Start, length and matches of the aligned run with the largest score among those of ``least`` words or more of which
+    ``LEAST_SHARE`` are equal."""
+    if len(same) < least:
+        return None
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -COST))])
+    low = np.minimum.accumulate(total[:len(total) - least])
+    score = total[least:] - low
+    end = int(np.argmax(score))
+    if score[end] < 0:
+        return None
+    start = int(np.flatnonzero(total[:end + 1] == low[end])[-1])
+    return start, end + least - start, int(same[start:end + least].sum())
+
+
+def have_runs(same: np.ndarray, sizes: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether there is a run as in ``best_run``, for many alignments (of ``sizes`` words, one after the other) at once."""
+    first = np.concatenate([[0], np.cumsum(sizes + 1)])
+    step = np.zeros(first[-1], dtype=np.int64)
+    inside = np.ones(first[-1], dtype=bool)
+    inside[first[:-1]] = False
+    step[inside] = np.where(same, 1, -COST)
+    line = np.repeat(np.arange(len(sizes)), sizes + 1)
+    # Far enough below the line before that its least total is not taken over.
+    far = 2 * COST * (len(step) + 1)
+    total = np.cumsum(step) - line * far
+    low = np.minimum.accumulate(total)
+    at = np.arange(len(step))
+    before = at - least[line]
+    within = before >= first[line]
+    good = np.flatnonzero(within)[total[within] >= low[before[within]]]
+    return np.bincount(line[good], minlength=len(sizes)) > 0
 
 
 class Seeds:
@@ -55,20 +96,18 @@ class Seeds:
         self.numbers, self.first = words.numbers, words.first
         sizes = np.diff(self.first)
         item_of = np.repeat(np.arange(len(items)), sizes)
-        self.shapes = {(m, len(m)) for m in MASKS}
-        span = max(map(len, MASKS))
-        # Items shorter than a mask are looked up by masks cut to their length.
-        for n in {int(x) for x in sizes if 0 < x < span}:
-            self.shapes |= {(m[:n], n) for m in MASKS if len(m) >= n}
-        self.shapes = sorted(self.shapes)
+        # Items of fewer words than a run must have are looked up as a whole, by masks of their length.
+        short = sorted({int(x) for x in sizes if 0 < x < LEAST_WORDS})
+        own = [(m, n) for n in short for m in short_masks(n)]
+        self.shapes = [(m, len(m)) for m in MASKS] + own
         keys, places = [], []
-        for mask, n in self.shapes:
+        for k, (mask, n) in enumerate(self.shapes):
             key = seed_numbers(self.numbers, mask, n)
             at = np.arange(len(key))
             whole = (item_of[at] == item_of[at + n - 1]) if len(key) else np.zeros(0, bool)
-            full = max(len(m) for m in MASKS if m.startswith(mask))
-            if mask not in MASKS and len(key):
-                whole &= sizes[item_of[at]] < full
+            if len(key):
+                size = sizes[item_of[at]]
+                whole &= (size >= LEAST_WORDS) if k < len(MASKS) else (size == n)
             keys.append(key[whole])
             places.append(at[whole])
         key, place = np.concatenate(keys), np.concatenate(places)
@@ -93,6 +132,24 @@ def _search(seeds: Seeds, words: Words, mask: str, span: int):
     return at, seeds.places[np.repeat(low, n) + offset]
 
 
+def _verified(seeds: Seeds, words: Words, lines: np.ndarray) -> np.ndarray:
+    """The columns (document, item, shift) of ``lines`` whose texts have a run that counts as an overlap."""
+    doc, item, shift = lines
+    a, b = seeds.first[item], seeds.first[item + 1]
+    low, high = np.maximum(a, words.first[doc] - shift), np.minimum(b, words.first[doc + 1] - shift)
+    least = np.minimum(LEAST_WORDS, b - a)
+    lines, low, sizes, least = (x[..., high - low >= least] for x in (lines, low, high - low, least))
+    part = np.cumsum(sizes) // PART_WORDS
+    out = []
+    for k in np.unique(part):
+        own = part == k
+        size = sizes[own]
+        at = np.arange(size.sum()) + np.repeat(low[own] - (np.cumsum(size) - size), size)
+        same = seeds.numbers[at] == words.numbers[at + np.repeat(lines[2, own], size)]
+        out.append(lines[:, own][:, have_runs(same, size, least[own])])
+    return np.concatenate([np.zeros((3, 0), np.int64), *out], axis=1)
+
+
 def _overlaps(seeds: Seeds):
     def overlaps(batches):
         for batch in batches:
@@ -106,14 +163,13 @@ def _overlaps(seeds: Seeds):
                 # One comparison for each document, item and alignment.
                 lines = np.unique(np.stack([doc, item, at - place]), axis=1)
                 rows = []
-                for d, i, shift in lines.T.tolist():
+                for d, i, shift in _verified(seeds, words, lines).T.tolist():
                     a, b = int(seeds.first[i]), int(seeds.first[i + 1])
                     low, high = max(a, int(words.first[d]) - shift), min(b, int(words.first[d + 1]) - shift)
                     same = seeds.numbers[low:high] == words.numbers[low + shift:high + shift]
-                    start, n, matches = best_run(same)
-                    if n and n >= min(LEAST_WORDS, b - a) and matches >= LEAST_SHARE * n:
-                        rows.append((ids[d], seeds.ids[i], low + start + shift - int(words.first[d]), low + start - a, n,
-                                     matches, matches / n, b - a))
+                    start, n, matches = best_run(same, min(LEAST_WORDS, b - a))
+                    rows.append((ids[d], seeds.ids[i], low + start + shift - int(words.first[d]), low + start - a, n,
+                                 matches, matches / n, b - a))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
                 kinds = [pa.int64()] * 6 + [pa.float64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
@@ -142,7 +198,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
     An overlap is an aligned run of at least 13 words (or of the whole item, if shorter) of which at least 0.8 are equal;
     words and lower-casing as in ``words``.  The benchmark is the query set: it is sent to the tasks in blocks of bounded size
-    (``BLOCK_WORDS``), each block is compared with all documents, and the documents are never shuffled.  An item in any
+    (``BLOCK_WORDS``), each block is compared with all documents, and the documents are never shuffled.  The seeds miss no such run; each document, item and alignment gives one row, its run with the
+    largest score (a substitution counts 4 against it).  An item in any
     share of the documents, or many times in one, needs nothing special.  Null and empty texts overlap with
     nothing; rows of a repeated id are compared each on its own; a null id is returned as null.
     """
