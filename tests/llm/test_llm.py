@@ -249,6 +249,33 @@ def test_overlaps(spark, awkward, empty, documents):
     assert exact_hits <= {(r.doc_id, r.item_id) for r in decontaminate.overlaps(documents, bench).collect()}
 
 
+def test_equal_runs_at_any_place(spark):
+    docs, passage = [], {}
+    for k, (n, changed) in enumerate([(30, None), (33, None), (51, None), (60, None), (50, 20), (50, 25), (50, 29), (60, 30)]):
+        words = [f"p{k}x{i}" + "." * (i % 6 == k % 6) for i in range(n)]
+        for side in (0, 1):
+            own = words[:]
+            if side and changed is not None:
+                own[changed] = "other"
+            before = [f"a{k}x{side}x{i}" + "." * (i % (5 + k) == 2) for i in range(11 + 3 * k + 2 * side)]
+            after = [f"z{k}x{side}x{i}" + "." * (i % 7 == side) for i in range(40)]
+            docs.append((2 * k + side, " ".join(before + own + after)))
+            passage[2 * k + side] = (len(before), n)
+    rows = rows_of(passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {r["doc_id"]: (r["start_word"], r["n_words"]) for r in rows} == passage and len(rows) == len(passage)
+    assert all(r["removed"] == bool(r["doc_id"] % 2) and r["keep_doc_id"] == r["doc_id"] // 2 * 2 for r in rows)
+
+
+def test_anchors_are_shared_by_equal_runs():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        run = [f"r{i}" for i in rng.integers(0, 9, 24)]
+        sides = [Words([" ".join([*[f"{s}{i}" for i in range(rng.integers(0, 30))], *run, *[f"{s}{i}" for i in range(20)]]).encode()])
+                 for s in "ab"]
+        both = [set(w.shingles(passages.ANCHOR)[passages.anchors(w)].tolist()) for w in sides]
+        assert both[0] & both[1]
+
+
 def brute_overlap(same, least):
     return any(5 * sum(same[a:b]) >= 4 * (b - a) for a in range(len(same)) for b in range(a + least, len(same) + 1))
 

@@ -1,7 +1,11 @@
-"""Passages that repeat across documents: MinHash banding of paragraphs, exact Jaccard, components.
+"""Passages that repeat across documents: equal runs of words at any place, and MinHash banding of paragraphs.
 
-The paragraphs compared are sentences of 8 words or more, and the runs of shorter sentences between them.  Where a paragraph
-starts and ends depends on its own words and line breaks only, so a passage pasted into different documents is cut alike.
+Equal runs are found by anchors, word 12-shingles of which the smallest number among any 13 in a row is taken (winnowing), so
+that equal runs of 24 words have an anchor in common wherever they stand.  Around anchors that several documents have, all
+windows of 24 words are looked up, and beside those that repeat, the windows of 12 words.
+
+The paragraphs compared are sentences of 8 words or more, and the runs of shorter sentences between them.  A paragraph of
+changed words is found by its bands, exact Jaccard and components.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.linking import bitmap, likely_pairs, linked_components, possible, shared_tiles
-from tidemark.llm.shared import written
+from tidemark.llm.shared import dropped, written
 from tidemark.llm.words import Words, mix, text_parts
 
 WIDTH = 5
@@ -24,6 +28,8 @@ LEAST_UNIT = 8
 LEAST_BANDED = 20
 LEAST_PASSAGE = 30
 GAP = 7
+LEAST_RUN = 24
+ANCHOR = 12
 UNIT_SCHEMA = "doc_id long, start long, n_words long, node long, bands array<long>"
 SENTENCE_END = np.zeros(256, dtype=bool)
 SENTENCE_END[[ord(c) for c in ".!?"]] = True
@@ -100,6 +106,107 @@ def _units(batches):
             ], ["doc_id", "start", "n_words", "node", "bands"])
 
 
+def anchors(words: Words) -> np.ndarray:
+    """First words of the anchors: shingles with the smallest number among some ``LEAST_RUN - ANCHOR + 1`` in a row of a text."""
+    shingles, across = mix(words.shingles(ANCHOR)), LEAST_RUN - ANCHOR + 1
+    n = len(shingles)
+    if n < across:
+        return np.zeros(0, np.int64)
+    text = np.searchsorted(words.first, np.arange(n + ANCHOR - 1), "right") - 1
+    windows = np.lib.stride_tricks.sliding_window_view
+    inside = text[:n - across + 1] == text[LEAST_RUN - 1:]
+    least = np.where(inside, windows(shingles, across).min(axis=1), np.uint64(0))
+    around = np.pad(least, across - 1)
+    return np.flatnonzero((windows(around, across).max(axis=1) == shingles) & (shingles > 0))
+
+
+def _anchors(batches):
+    for batch in batches:
+        for ids, texts in text_parts(batch.column(0), batch.column(1)):
+            words = Words(texts)
+            at = anchors(words)
+            doc = np.searchsorted(words.first, at, "right") - 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.array(ids, dtype=object)[doc], pa.int64()), pa.array(at - words.first[doc]),
+                pa.array(words.shingles(ANCHOR)[at].view(np.int64)),
+            ], ["doc_id", "start", "key"])
+
+
+def _windows(size: int):
+    """The windows of ``size`` words that start in the given ranges [low, high] of each text."""
+    def windows(batches):
+        for batch in batches:
+            ranges = batch.column("ranges").to_pylist()
+            at = 0
+            for ids, texts in text_parts(batch.column("doc_id"), batch.column("text")):
+                words = Words(texts)
+                shingles = words.shingles(size)
+                docs, starts, keys = [], [], []
+                for i, key in enumerate(ids):
+                    a, n = int(words.first[i]), int(words.first[i + 1] - words.first[i]) - size + 1
+                    if n <= 0:
+                        continue
+                    own = ranges[at + i]
+                    edge = np.zeros(n + 1, dtype=np.int64)
+                    np.add.at(edge, np.clip([r["low"] for r in own], 0, n), 1)
+                    np.add.at(edge, np.clip([r["high"] + 1 for r in own], 0, n), -1)
+                    place = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                    docs.append(np.full(len(place), key, dtype=np.int64))
+                    starts.append(place)
+                    keys.append(shingles[a + place])
+                at += len(ids)
+                if docs:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.concatenate(docs)), pa.array(np.concatenate(starts)),
+                        pa.array(np.concatenate(keys).view(np.int64))], ["doc_id", "start", "key"])
+    return windows
+
+
+def _repeated(keyed: DataFrame) -> DataFrame:
+    """The rows (doc_id, start, key) whose key several documents have, with the smallest of these as ``keep``."""
+    named = keyed.groupBy(F.col("key").alias("named")).agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("most"))
+    named = written(named.where("keep < most"), "repeated")  # by itself, so that Spark can split the join at a frequent key
+    return keyed.join(named, F.col("key") == F.col("named")).select("doc_id", "start", "key", "keep")
+
+
+def joined(found: DataFrame, gap: int) -> DataFrame:
+    """Rows (doc_id, start, n_words, cluster_id, keep, removed) of a document with at most ``gap`` words between, as one."""
+    order = Window.partitionBy("doc_id", "removed").orderBy("start", "n_words")
+    before = F.max(F.col("start") + F.col("n_words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.withColumn("opens", F.coalesce(F.col("start") - before > gap, F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("doc_id", "removed", "run").agg(
+        F.min("start").alias("start"), (F.max(F.col("start") + F.col("n_words")) - F.min("start")).alias("n_words"),
+        F.min("cluster_id").alias("cluster_id"), F.min("keep").alias("keep")).drop("run")
+
+
+def equal_runs(texts: DataFrame) -> DataFrame:
+    """Runs of words (doc_id, start, n_words, cluster_id, keep, removed) all of whose windows of ``LEAST_RUN`` words occur in
+    several documents, and the repeated windows of ``ANCHOR`` words near them.
+
+    No run is lost: windows around every repeated anchor are looked up by number, and documents are never compared in
+    pairs.  keep is the smallest id that has a window of the run, and cluster_id its smallest window number.
+    """
+    def looked_up(places: DataFrame, size: int) -> DataFrame:
+        ranges = places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        around = texts.join(ranges, F.col("doc_id") == F.col("of")).select("doc_id", "text", "ranges")
+        keyed = written(around.mapInArrow(_windows(size), "doc_id long, start long, key long"), "windows")
+        found = _repeated(keyed).select("doc_id", "start", F.lit(size).cast("long").alias("n_words"),
+                                        F.col("key").alias("cluster_id"), "keep", (F.col("doc_id") != F.col("keep")).alias("removed"))
+        runs = written(joined(found, 0), "runs")
+        dropped(keyed)
+        return runs
+
+    keyed = written(texts.mapInArrow(_anchors, "doc_id long, start long, key long"), "anchors")
+    places = _repeated(keyed).select("doc_id", (F.col("start") - (LEAST_RUN - ANCHOR)).alias("low"), F.col("start").alias("high"))
+    runs = looked_up(places, LEAST_RUN)
+    dropped(keyed)
+    end, reach = F.col("start") + F.col("n_words"), GAP + LEAST_RUN
+    beside = runs.select("doc_id", (F.col("start") - reach).alias("low"), (F.col("start") - ANCHOR).alias("high")).union(
+        runs.select("doc_id", end.alias("low"), (end + reach - ANCHOR).alias("high")))
+    return runs.unionByName(looked_up(beside, ANCHOR))
+
+
 def _shingle_sets(batches):
     for batch in batches:
         wanted = batch.column("wanted").to_pylist()
@@ -136,12 +243,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Passages of ``LEAST_PASSAGE`` words or more that occur in several documents, one row for each occurrence: doc_id,
     start_word, n_words, cluster_id, keep_doc_id, removed.
 
-    Equal paragraphs are one class.  Paragraphs of 20 words or more also get MinHash bands (``bands_for``: 4 bands of 2 rows
+    Equal runs of 24 words or more are found wherever they start (``equal_runs``).  Equal paragraphs are one class.  Paragraphs of 20 words or more also get MinHash bands (``bands_for``: 4 bands of 2 rows
     find a pair of similarity 0.8 with probability 0.98); classes that share a band are joined, their word 5-shingle sets
     are compared exactly (Jaccard 0.8 or more), and links are closed to components (``linked_components``).  A cluster
-    that occurs in one document only is no repetition.  Paragraphs of clusters that follow each other in a
-    document, with at most 7 words between, make a passage.  It stays in the smallest id of its cluster and is
-    marked as removed elsewhere; cluster_id is the smallest class in it.
+    that occurs in one document only is no repetition.  Runs and paragraphs of clusters that follow each other in a
+    document, with at most 7 words between, make a passage.  What the smallest id of its cluster or window holds stays, and is
+    marked as removed elsewhere; a passage that stays may overlap a removed one.  cluster_id is the smallest class or window in it.
 
     Null and empty texts have no paragraphs.  Rows without an id are left out; rows of a repeated id are one document.
     """
@@ -178,17 +285,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = named.join(clusters, F.col("cluster") == F.col("cluster_id")).select("class", "cluster_id", "keep")
     found = units.select("doc_id", "start", "n_words", "node").join(marked, F.col("node") == F.col("class"))
 
-    # Neighbouring paragraphs of a document make a passage.
-    order = Window.partitionBy("doc_id").orderBy("start", "n_words")
-    found = found.withColumn("removed", F.col("doc_id") != F.col("keep"))
-    starts = ((F.col("start") - F.lag(F.col("start") + F.col("n_words")).over(order) > GAP)
-              | (F.lag("removed").over(order) != F.col("removed")))
-    runs = found.withColumn("opens", F.coalesce(starts, F.lit(True)).cast("int"))
-    runs = runs.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    passages = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start_word"), (F.max(F.col("start") + F.col("n_words")) - F.min("start")).alias("n_words"),
-        F.min("cluster_id").alias("cluster_id"), F.min("keep").alias("keep_doc_id"), F.max("removed").alias("removed"))
-    return passages.where(F.col("n_words") >= LEAST_PASSAGE).drop("run")
+    # Neighbouring paragraphs and runs of a document make a passage.
+    found = found.select("doc_id", "start", "n_words", "cluster_id", "keep", (F.col("doc_id") != F.col("keep")).alias("removed"))
+    passages = joined(found.unionByName(equal_runs(texts)), GAP).where(F.col("n_words") >= LEAST_PASSAGE)
+    return passages.select("doc_id", F.col("start").alias("start_word"), "n_words", "cluster_id",
+                           F.col("keep").alias("keep_doc_id"), "removed")
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
