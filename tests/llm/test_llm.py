@@ -326,6 +326,17 @@ def test_model_is_a_distribution():
     assert np.exp(each.astype(float)).sum(axis=1) == pytest.approx([1, 1, 1], abs=1e-4)
 
 
+def test_tables_count_the_fold_of_the_mixers(spark):
+    rows = [(1, "only here zebra quokka", 1), (2, "some other words", 2), (3, "some more words", 9), (4, "held out xylophone", 0)]
+    model = mixing.train(spark.createDataFrame(rows, "doc_id long, text string, fold long"))
+
+    def seen(text):
+        keys, _ = mixing.grams([text.encode()])
+        return model.sure[mixing.slots(mixing.contexts(keys), keys, 0)] > 0
+    assert all(seen(text).all() for _, text, fold in rows if fold)
+    assert not seen("held out xylophone").all()
+
+
 def brute_repeats(raw):
     data, out, run, seen = raw + bytes([mixing.END]), [], 0, {}
     for i in range(8, len(data)):
