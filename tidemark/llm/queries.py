@@ -2,6 +2,7 @@
 
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
 from tidemark.llm.exact import EXACT_SQL, op9_exact_dedup
+from tidemark.llm.line_dedup import LINE_SQL, op11_line_dedup
 from tidemark.llm.mixing import op4_lm_scoring
 from tidemark.llm.ngram_join import op8_ngram_jaccard_join
 from tidemark.llm.page_text import op2_page_text
@@ -22,6 +23,7 @@ LLM_QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op11_line_dedup": op11_line_dedup,
 }
 
-LLM_ORACLES = {"op9_exact_dedup": EXACT_SQL}
+LLM_ORACLES = {"op9_exact_dedup": EXACT_SQL, "op11_line_dedup": LINE_SQL}
