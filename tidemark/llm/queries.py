@@ -9,6 +9,7 @@ from tidemark.llm.page_text import op2_page_text
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.passages import op3_substring_dedup
 from tidemark.llm.pii import op10_pii
+from tidemark.llm.ranked_search import SEARCH_SQL, op13_ranked_search
 from tidemark.llm.token_matrix import op1_token_matrix
 from tidemark.llm.toxicity import op7_toxicity
 
@@ -24,6 +25,7 @@ LLM_QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
     "op11_line_dedup": op11_line_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-LLM_ORACLES = {"op9_exact_dedup": EXACT_SQL, "op11_line_dedup": LINE_SQL}
+LLM_ORACLES = {"op9_exact_dedup": EXACT_SQL, "op11_line_dedup": LINE_SQL, "op13_ranked_search": SEARCH_SQL}
