@@ -10,6 +10,7 @@ from tidemark.llm.packing import op5_packing
 from tidemark.llm.passages import op3_substring_dedup
 from tidemark.llm.pii import op10_pii
 from tidemark.llm.ranked_search import SEARCH_SQL, op13_ranked_search
+from tidemark.llm.token_alignment import op12_token_alignment
 from tidemark.llm.token_matrix import op1_token_matrix
 from tidemark.llm.toxicity import op7_toxicity
 
@@ -25,6 +26,7 @@ LLM_QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
     "op11_line_dedup": op11_line_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_ranked_search": op13_ranked_search,
 }
 
