@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,10 @@ from tidemark.llm.tokens import byte_signs, spans
 
 BATCH_TEXT = 1 << 21
 # So many parts of texts keep their alignment in a task, and so many pairs are broadcast at most.
-CACHED = 1 << 18
+CACHED = 1 << 19
+# So many parts are encoded in one go; groups with more links than LARGE are counted by distinct ids.
+TOGETHER = 1000
+LARGE = 4096
 COMMON = 1 << 18
 # Neither tokenizer joins what a single space between other characters parts.
 SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -39,28 +41,41 @@ def parts_of(text: str) -> list[str]:
     return SPACE.split(text) if OTHER_SPACE.search(text) else text.split(" ")
 
 
-def byte_ends(token_spans: list[tuple[int, int]], tokens: list[bytes]) -> list[int]:
+def byte_ends(token_spans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Where tokens end, in bytes, from their spans (begin and end in bytes, moved outwards to whole characters).
 
     A span is a cut where it has a width and the next one does not reach back behind its end.  The other tokens
-    are some bytes of a character that they share with the next: their own bytes say where they end.
+    are some bytes of a character that they share with the next: their own lengths, from the last cut on, say where they end.
     """
-    out, at = [], 0
-    nexts = [begin for begin, _ in token_spans[1:]] + [1 << 62]
-    for (begin, end), following, token in zip(token_spans, nexts, tokens, strict=True):
-        at = end if begin < end <= following else at + len(token)
-        out.append(at)
-    return out
-
-
-def groups_of(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The tokens of both sides between neighbouring cuts; a cut is where a token ends on both sides."""
-    out, i, j = [], 0, 0
-    for cut in sorted({*a_ends} & {*b_ends}):
-        to_a, to_b = a_ends.index(cut, i) + 1, b_ends.index(cut, j) + 1
-        out.append((a[i:to_a], b[j:to_b]))
-        i, j = to_a, to_b
-    return out
+    begin, end = token_spans[:, 0], token_spans[:, 1]
+    coarse = (begin < end) & (end <= np.append(begin[1:], np.iinfo(np.int64).max))
+    total = np.cumsum(lengths)
+    last = np.maximum.accumulate(np.where(coarse, np.arange(len(end)), -1))
+    return np.where(coarse, end, total + np.where(last >= 0, end[last] - total[last], 0))
+
+
+def _byte_places(text: str) -> np.ndarray:
+    """Where each character of a text starts in its bytes, and where the last one ends."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    sizes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _linked(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, sizes: np.ndarray, width: int):
+    """Group, pair and number of links of every token pair; in large groups equal pairs come once."""
+    n_b = np.bincount(b_group, minlength=len(sizes))
+    small = sizes[a_group] <= LARGE
+    left, each = a_group[small], n_b[a_group[small]]
+    right = spans(np.searchsorted(b_group, left), each)
+    found = [(np.repeat(left, each), np.repeat(a[small], each) * width + b[right], np.ones(len(right), np.int64))]
+    for g in np.flatnonzero(sizes > LARGE):
+        (x, m), (y, n) = (np.unique(ids[group == g], return_counts=True) for ids, group in ((a, a_group), (b, b_group)))
+        found.append((np.full(len(x) * len(y), g), (x[:, None] * width + y).ravel(), (m[:, None] * n).ravel()))
+    if len(found) == 1:
+        return found[0]
+    group, pair, times = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(group, kind="stable")
+    return group[order], pair[order], times[order]
 
 
 class Aligner:
@@ -75,9 +90,11 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = {sign: bytes([i]) for i, sign in enumerate(byte_signs())}
-        self.a_bytes = {i: b"".join(byte_of.get(c, c.encode()) for c in sign) for sign, i in self.a.get_vocab().items()}
+        names = sorted((i, sign) for sign, i in self.a.get_vocab().items())
+        self.a_bytes = {i: b"".join(byte_of.get(c, c.encode()) for c in sign) for i, sign in names}
         self.width = self.b.get_piece_size()
-        self.b_bytes = [self._piece(i) for i in range(self.width)]
+        self.b_bytes = {i: self._piece(i) for i in range(self.width)}
+        self.sizes = [np.array([len(table.get(i, b"")) for i in range(max(table) + 1)]) for table in (self.a_bytes, self.b_bytes)]
         self.forget()
 
     def _piece(self, i: int) -> bytes:
@@ -87,47 +104,66 @@ class Aligner:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str | None] = []
-        self.counts, self.at, self.length = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.counts, self.length, self.at = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, parts: list[str]) -> None:
-        """Align parts, each with a space in front."""
-        encoded = self.a.encode_batch([f" {p}" for p in parts], add_special_tokens=False)
-        pieces = self.b.encode(parts, return_type="proto", num_threads=1)
-        counts, length, pairs, times = [], [], [], []
-        for part, left, right in zip(parts, encoded, pieces, strict=True):
-            self.known[part] = len(self.known)
-            a, b, raw, before = left.ids, [p.id for p in right.pieces], f" {part}".encode(), len(pairs)
-            a_raw, b_raw = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-                self.groups.append(None)
-                counts.append((0, 0, 0, 0))
-                length.append(0)
-                continue
-            a_spans = left.offsets  # in characters, with the space
-            if len(raw) > len(part) + 1:
-                place = [0, *accumulate(len(c.encode()) for c in f" {part}")]
-                a_spans = [(place[begin], place[end]) for begin, end in a_spans]
-            # In bytes, without the space, which the first piece has in front.
-            b_spans = [(p.begin + 1 if i else p.begin, p.end + 1 if p.end > p.begin else p.begin)
-                       for i, p in enumerate(right.pieces)]
-            groups = groups_of(a, b, byte_ends(a_spans, a_raw), byte_ends(b_spans, b_raw))
-            links = 0
-            for xs, ys in groups:
-                links += len(xs) * len(ys)
-                for x, m in Counter(xs).items():
-                    for y, n in Counter(ys).items():
-                        pairs.append(x * self.width + y)
-                        times.append(m * n)
-            self.groups.append(";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in groups))
-            counts.append((len(a), len(b), len(groups), links))
-            length.append(len(pairs) - before)
-        new = np.array(length, np.int64)
-        self.at = np.concatenate([self.at, len(self.pairs) + np.cumsum(new) - new])
-        self.length = np.concatenate([self.length, new])
-        self.counts = np.concatenate([self.counts, np.array(counts, np.int64).reshape(-1, 4)])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
+        """Align parts, each with a space in front.  As neither tokenizer joins what the spaces part, many are encoded in one go."""
+        plain, other, alone = [], [], []
+        for p in parts:
+            (alone if not p or p[0].isspace() or p[-1].isspace() else plain if p.isascii() else other).append(p)
+        blocks = [some[i:i + TOGETHER] for some in (plain, other) for i in range(0, len(some), TOGETHER)] + [[p] for p in alone]
+        learned = []
+        for block in blocks:
+            found = self._align_block(block)
+            learned += [(block, found)] if found else [([p], self._align_block([p])) for p in block]
+        none = (np.zeros((1, 4), np.int64), [None], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for block, _ in learned:
+            for p in block:
+                self.known[p] = len(self.known)
+        counts, groups, length, pairs, times = zip(*[found or none for _, found in learned], strict=True)
+        self.groups += [g for some in groups for g in some]
+        self.counts = np.concatenate([self.counts, *counts])
+        self.length = np.concatenate([self.length, *length])
+        self.at = np.cumsum(self.length) - self.length
+        self.pairs, self.times = np.concatenate([self.pairs, *pairs]), np.concatenate([self.times, *times])
+
+    def _align_block(self, parts: list[str]):
+        """Counts, groups, numbers of pairs, pairs and times of parts encoded as one text; None if a part is not spelt by its tokens."""
+        text = " ".join(parts)
+        whole = f" {text}"
+        raw, left, right = whole.encode(), self.a.encode(whole, add_special_tokens=False), self.b.encode(text, return_type="offset_mapping")
+        a_ids, b_ids = left.ids, right["ids"]
+        if not b_ids or b"".join(map(self.a_bytes.__getitem__, a_ids)) != raw or b"".join(map(self.b_bytes.__getitem__, b_ids)) != raw:
+            return None
+        # In characters; those of the second tokenizer without the space that it puts in front.
+        a_spans, b_spans = (np.fromiter(chain.from_iterable(x), np.int64, 2 * len(x)).reshape(-1, 2) for x in (left.offsets, right["offsets"]))
+        b_spans += 1
+        if len(raw) > len(whole):
+            place = _byte_places(whole)
+            a_spans, b_spans = place[a_spans], place[b_spans]
+        a, b = np.array(a_ids), np.array(b_ids)
+        a_ends, b_ends = byte_ends(a_spans, self.sizes[0][a]), byte_ends(b_spans, self.sizes[1][b])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        to = np.searchsorted(cuts, ends)
+        if to[-1] >= len(cuts) or (cuts[to] != ends).any():
+            return None
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        sizes = np.bincount(a_group, minlength=len(cuts)) * np.bincount(b_group, minlength=len(cuts))
+        group, pairs, times = _linked(a, b, a_group, b_group, sizes, self.width)
+
+        def each(counted: np.ndarray) -> np.ndarray:
+            return np.diff(counted, prepend=0)
+
+        counts = np.stack([each(np.searchsorted(a_ends, ends, "right")), each(np.searchsorted(b_ends, ends, "right")), each(to + 1),
+                           each(np.cumsum(sizes)[to])], axis=1)
+        a_text, b_text = list(map(str, a_ids)), list(map(str, b_ids))
+        a_to, b_to = np.searchsorted(a_ends, cuts, "right").tolist(), np.searchsorted(b_ends, cuts, "right").tolist()
+        texts = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in zip([0, *a_to], a_to, [0, *b_to], b_to)]
+        stops = (to + 1).tolist()
+        groups = [";".join(texts[i:j]) for i, j in zip([0, *stops], stops)]
+        return counts, groups, each(np.searchsorted(group, to, "right")), pairs, times
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Per text the four counts and its groups; its linked pairs from ``first[i]`` to ``first[i + 1]`` with their times."""
@@ -182,7 +218,7 @@ def token_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of A is linked with every token of B in its group: ``links`` maps a pair (A id times the size of B's vocabulary, plus B
     id) to how often the text links it.
 
-    Where tokens end comes from the character offsets of A and the byte spans of B's result record; where tokens share a character
+    Where tokens end comes from the character offsets of A and the spans of B's result record; where tokens share a character
     their bytes refine the cuts.  Texts are cut at single spaces between other characters, which no token of either covers together
     with what stands before, so each distinct part is aligned once and the alignments are joined.
 
