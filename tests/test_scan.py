@@ -1,15 +1,19 @@
 """Running aggregates, with and without hot groups, against plain Python."""
 
+import math
 import random
+import re
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import (
-    count_rows, first_by, greatest, joined, last_by, least, top_row, total,
+    count_rows, final_columns, first_by, greatest, joined, last_by, least, state_columns, top_row, total,
 )
 from tidemark.operators.countwin import count_sliding, count_tumbling
-from tidemark.operators.scan import BUCKET, plan_split, scan
+from tidemark.operators.scan import BUCKET, plan_split, prefix, scan
 from tidemark.operators.windows import concat_in_order
 
 
@@ -72,7 +76,7 @@ def test_scan_without_keys_is_cut(table):
 def test_ranges_are_small_even_with_one_heavy_order_value(table):
     rows, df = table
     split = plan_split(df, ["key"], ["arr", "id"], hot_rows=50, buckets=10)
-    assert split.heavy and len(split.levels) == 2
+    assert split.heavy and split.opened
     sizes = split.assign(df).where(F.col(BUCKET) > 0).groupBy("key", BUCKET).count()
     assert sizes.agg(F.max("count")).first()[0] <= len(rows) / 10 * 2
     # Range numbers grow with the order.
@@ -85,7 +89,7 @@ def test_ties_on_two_levels(spark):
     rows = [(i % 2 and 7 or i, i % 3 and 5 or i, i) for i in range(400)]
     df = spark.createDataFrame(rows, "a long, b long, c long").repartition(3)
     split = plan_split(df, [], ["a", "b", "c"], buckets=8)
-    assert len(split.levels) == 3
+    assert len(split.opened) >= 2
     assert split.assign(df).groupBy(BUCKET).count().agg(F.max("count")).first()[0] <= 100
     out = scan(df, [], ["a", "b", "c"], [count_rows("n")], split=split)
     want = {r: i + 1 for i, r in enumerate(sorted(rows))}
@@ -101,7 +105,7 @@ def test_order_values_beyond_double_precision(spark):
     assert {r["c"]: r["n"] for r in out.collect()} == want
 
 
-@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,2)", "int"])
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,2)", "decimal(38,18)", "int"])
 def test_order_types(spark, kind):
     rows = [(x, i) for i, x in enumerate([0.0, -0.0, 1.5, -2.0, None, 0.0, -0.0, 7.0] * 20)]
     df = spark.createDataFrame(rows, "x double, id long").withColumn("x", F.col("x").cast(kind))
@@ -192,7 +196,7 @@ def test_every_hot_key_is_cut_and_order_types_are_checked_first(spark):
     for kind in ("string", "date", "timestamp_ntz", "decimal(20,2)"):
         value = F.date_add(F.lit("2020-01-01"), F.col("n").cast("int")) if kind in ("date", "timestamp_ntz") else F.col("n")
         typed = rows.withColumn("n", value.cast(kind))
-        assert plan_split(typed, ["k"], ["n"], hot_rows=10).assign(typed).select(BUCKET).distinct().count() > 10
+        assert plan_split(typed, ["k"], ["n"], hot_rows=10).assign(typed).select("k", BUCKET).distinct().count() > 10 * 50 / 2
     with pytest.raises(TypeError):
         plan_split(rows.withColumn("n", F.array("n")), ["k"], ["n"], hot_rows=10_000)
 
@@ -204,3 +208,86 @@ def test_inner_separators_are_split_in_linear_time(spark):
 
     row = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.lit(300_000)), F.lit("b ")).alias("t"))
     assert row.select(F.size(space_tokens("t"))).first()[0] == 300_001
+
+
+BIG = 2**62
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("long", [0, -1, 1, BIG, BIG + 1, BIG + 2047, BIG + 2048, -BIG, None, 2**63 - 1, -(2**63)]),
+    ("double", [0.0, -0.0, 1e300, 1.7e308, -1.7e308, 5e-324, math.inf, -math.inf, math.nan, None, 1.0, 1.0000000000000002]),
+    ("string", ["", None, "a", "a\x00", "ab", "2024-01-01 00:00:00", "2024-01-01 00:00:01", "\U0001f600", "é", "z" * 50, "z" * 49 + "y"]),
+    ("decimal(38,18)", [Decimal(x) for x in ("0", "-0.5", "0.5", "1e-18", "-1e-18", "12345678901234567890.123456789012345678",
+                                             "12345678901234567890.123456789012345679", "-99999999999999999999.999999999999999999")]),
+    ("decimal(38,0)", [Decimal(x) for x in (0, -1, 10**37, 10**37 + 1, 10**30, 10**30 - 1, 10**15, 10**15 - 1)]),
+    ("boolean", [True, False, None]), ("date", ["2024-02-29", "1969-12-31", None]),
+    ("timestamp", ["2024-02-29 00:00:00", "2024-02-29 00:00:00.000001", "1960-01-01 00:00:00", None]),
+])
+def test_ranges_follow_the_order_of_any_type(spark, kind, values):
+    """Each value often, so that every level of cells and the next column take part."""
+    rows = [(v, i) for i, v in enumerate(values * 40)]
+    text = kind in ("date", "timestamp")
+    df = spark.createDataFrame(rows, f"x {'string' if text else kind}, id long").withColumn("x", F.col("x").cast(kind))
+    split = plan_split(df, [], ["x", "id"], buckets=20)
+    got = split.assign(df).orderBy("x", "id").select(BUCKET).collect()
+    numbers = [r[0] for r in got]
+    assert numbers == sorted(numbers) and numbers[0] > 0
+    share = math.ceil(len(rows) / 20)
+    assert max(numbers.count(n) for n in set(numbers)) < 2 * share and len(set(numbers)) <= 2 * 20
+
+
+def test_rows_that_were_not_planned_find_their_place(spark):
+    planned = spark.createDataFrame([(t, i) for i in range(300) for t in (10, 20 + i % 3)], "t long, id long")
+    split = plan_split(planned, [], ["t", "id"], buckets=12)
+    assert split.heavy
+    asked = spark.createDataFrame([(t, i) for t in range(-5, 40) for i in (-7, 0, 150, 299, 10**9)], "t long, id long")
+    both = split.assign(planned.unionByName(asked)).orderBy("t", "id").select(BUCKET).collect()
+    assert [r[0] for r in both] == sorted(r[0] for r in both)
+    first = split.by_first_column().assign(planned).groupBy("t").agg(F.countDistinct(BUCKET).alias("n"))
+    assert {r["n"] for r in first.collect()} == {1}
+
+
+def test_own_cuts_for_each_frequent_value(spark):
+    """Two frequent values with far-apart second columns: shared borders would leave most ranges of each empty."""
+    rows = [(1, i) for i in range(500)] + [(2, 10**12 + i) for i in range(500)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    sizes = plan_split(df, [], ["a", "b"], buckets=20).assign(df).groupBy(BUCKET).count().collect()
+    assert len(sizes) >= 10 and max(r["count"] for r in sizes) < 100
+
+
+def test_four_levels_of_many_ranges_number_without_overflow(spark):
+    """Range numbers count shares of rows; with 60,000 ranges on each of four columns a product would not fit 64 bits."""
+    df = spark.range(120_000).select(*[F.when(F.col("id") % (j + 2) > 0, 5 + j).otherwise(F.col("id") * 10**9).alias(c)
+                                       for j, c in enumerate("abc")], F.col("id").alias("d"))
+    split = plan_split(df, [], ["a", "b", "c", "d"], buckets=60_000)
+    got = split.assign(df).groupBy(BUCKET).count().agg(F.max("count"), F.max(BUCKET), F.count("*")).first()
+    assert got[0] < 8 and got[1] <= 60_001 and got[2] > 20_000
+    out = scan(df, [], ["a", "b", "c", "d"], [count_rows("n")], split=split)
+    wrong = out.withColumn("want", F.row_number().over(Window.orderBy("a", "b", "c", "d"))).where("n <> want")
+    assert wrong.count() == 0
+
+
+@pytest.mark.parametrize("reverse", [True, False])
+def test_prefix_as_a_tree(spark, reverse):
+    rows = [(g, d // 100, d // 10, d) for g in "ab" for d in range(0, 1000, 7)]
+    df = spark.createDataFrame(rows, "g string, d0 long, d1 long, d2 long").withColumn("v", F.col("d2"))
+    aggs = [total("v", "s"), first_by("v", ["v"], "f"), last_by("v", ["v"], "l")]
+    found = prefix(df.select("*", *state_columns(aggs)), ["g"], ["d0", "d1", "d2"], aggs, reverse)
+    got = {(r["g"], r["d2"]): (r["s"], r["f"], r["l"]) for r in found.select("g", "d2", *final_columns(aggs)).collect()}
+    want = {}
+    for g in "ab":
+        for d in range(0, 1000, 7):
+            seen = [x for x in range(0, 1000, 7) if (x > d if reverse else x < d)]
+            if seen:
+                want[g, d] = (sum(seen), min(seen), max(seen))
+    assert got == want
+
+
+def test_no_task_sees_all_ranges(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 7).alias("v"))
+    out = scan(df, [], ["id"], [total("v", "s")], split=plan_split(df, [], ["id"], buckets=5_000))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    # What meets in one task are the totals of blocks, about a hundred.
+    alone = re.findall(r"Exchange SinglePartition.*\n(.*)\n", text)
+    assert alone and all("HashAggregate(keys=[_block" in x for x in alone)
+    assert out.agg(F.max("s")).first()[0] == sum(i % 7 for i in range(20_000))
