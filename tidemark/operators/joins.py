@@ -36,6 +36,12 @@ def interval_join(
     each right row reaches at most two, so the equi-join key is (keys, cell): a hot key spreads over its cells, candidates per left row
     stay near its matches, and AQE can split what is still skewed.
     """
+    return _join_on_cells(left, right, on, left_time, right_time, before_ms, after_ms)
+
+
+def _join_on_cells(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, before_ms: int, after_ms: int
+) -> DataFrame:
     width = max(1, (before_ms + after_ms) * 1000)
     cells = F.sequence(
         F.floor((micros(right_time) - before_ms * 1000) / F.lit(width)),
@@ -61,10 +67,11 @@ def interval_join_stream(
     after_ms: int,
     delay_ms: int,
 ) -> DataFrame:
-    """The same join of two streams (append mode).  The watermarks let Spark drop rows that can no longer match."""
-    lhs = _prefixed(left.withWatermark(left_time, ms(delay_ms)), "l_")
-    rhs = _prefixed(right.withWatermark(right_time, ms(delay_ms)), "r_")
-    cond = _band(F.col(f"l_{left_time}"), F.col(f"r_{right_time}"), before_ms, after_ms)
-    for k in on:
-        cond = cond & (F.col(f"l_{k}") == F.col(f"r_{k}"))
-    return lhs.join(rhs, cond, "inner")
+    """The same join of two streams (append mode).
+
+    The time cell is part of the key here too, so the rows of a hot key are kept by as many state partitions as it has cells, and a
+    right row is kept at most twice.  Both event times stay in the condition with their watermarks, from which Spark
+    tells which kept rows can no longer match, and drops them.
+    """
+    return _join_on_cells(left.withWatermark(left_time, ms(delay_ms)), right.withWatermark(right_time, ms(delay_ms)),
+                          on, left_time, right_time, before_ms, after_ms)
