@@ -7,19 +7,22 @@ Three facts keep this parallel.
   the threshold of the mark.  So only running maxima matter, and they increase strictly.
 * From a mark, the next firing is the first running maximum far enough above it: a binary search.  What one arrival range of a
   key does to a mark is a short step function (mark in, mark out), found without knowing the mark.  For a hot
-  key these step functions are walked in order, then all its ranges fire in parallel.
+  key the functions of neighbouring ranges are composed, those of neighbouring blocks again, and so on: a tree.  Down the
+  tree every block and in the end every range gets the mark it starts with, then all ranges fire in parallel.
 * Time is cut into blocks of the eviction length.  The window of a firing is a tail of the previous block and a head of its own,
   so both are running maxima, and no row is copied into every window that contains it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +34,18 @@ from tidemark.sources.staging import staged
 
 # Kinds of rows that meet in the search for the top of a window.
 ROW, HEAD, TAIL = 0, 1, 2
+# So many neighbours are composed into a block.
+FAN = 16
 
 
-def _next(values: np.ndarray, marks: np.ndarray, threshold: float) -> np.ndarray:
+def _next(values: np.ndarray, marks: np.ndarray, threshold) -> np.ndarray:
     """For each mark, position of the first of the increasing ``values`` with ``value - mark > threshold``."""
+    if values.dtype == np.int64:
+        largest = np.iinfo(np.int64).max
+        return np.searchsorted(values, np.where(marks > largest - threshold, largest, marks + threshold), "right")
     at = np.searchsorted(values, marks + threshold, "right")
+    if values.dtype == object:  # decimals are exact
+        return at
     # mark + threshold is rounded; settle the border on the exact comparison.
     while True:
         back = (at > 0) & (values[np.maximum(at - 1, 0)] - marks > threshold)
@@ -45,11 +55,11 @@ def _next(values: np.ndarray, marks: np.ndarray, threshold: float) -> np.ndarray
         at = at - back + ahead
 
 
-def _fire(threshold: float):
+def _fire(threshold):
     """Keep the firing rows of a partition sorted by group and value.  Only the mark passes from batch to batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mark = np.nan
+        mark = None
         for batch in batches:
             values = batch.column("_value").to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(batch.column("_first").to_numpy(zero_copy_only=False))
@@ -60,7 +70,7 @@ def _fire(threshold: float):
                 if lo in starts[:1] or lo > 0:
                     mark = values[lo]
                 part = values[lo:hi]
-                i = int(_next(part, np.array([mark]), threshold)[0])
+                i = int(_next(part, np.array([mark], values.dtype), threshold)[0])
                 following = _next(part, part, threshold).tolist()
                 while i < len(part):
                     mark = part[i]
@@ -71,7 +81,7 @@ def _fire(threshold: float):
     return run
 
 
-def _step_function(threshold: float):
+def _step_function(threshold):
     """Mark in, mark out of one arrival range: the first row (_upto, _exit) with ``_upto - mark > threshold`` gives the mark out."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -83,36 +93,65 @@ def _step_function(threshold: float):
             last = further
         # A mark lies below the first value of the range, so it fires at one of these rows or not at all.
         reach = min(n, int(after[0]) + 1)
-        leaves = values[last[:reach]]
-        ends = np.append(np.flatnonzero(leaves[1:] != leaves[:-1]), reach - 1)
-        keys = pdf.drop(columns=["_value"]).iloc[[0] * len(ends)].reset_index(drop=True)
-        return keys.assign(_upto=values[ends], _exit=leaves[ends])
+        return _pieces(pdf.drop(columns=["_value"]), values[0], values[:reach], values[last[:reach]])
 
     return run
 
 
-def _enter(threshold: float):
-    """Walk the step functions of each key in order and give every range the mark it starts with."""
+def _pieces(keys: pd.DataFrame, least, upto: np.ndarray, leave: np.ndarray) -> pd.DataFrame:
+    """A step function as rows, one for each run of equal marks out; ``_least`` is the first value of its rows."""
+    ends = np.append(np.flatnonzero(leave[1:] != leave[:-1]), len(leave) - 1)
+    rows = keys.iloc[[0] * len(ends)].reset_index(drop=True)
+    return rows.assign(_least=least, _upto=upto[ends], _exit=leave[ends])
+
+
+def _children(pdf: pd.DataFrame):
+    """The functions of a block in order: number, first value, and the steps."""
+    for node, own in pdf.sort_values(["_node", "_upto"]).groupby("_node", sort=True):
+        yield node, own["_least"].iloc[0], own["_upto"].to_numpy(), own["_exit"].to_numpy()
+
+
+def _passed(marks: np.ndarray, upto: np.ndarray, leave: np.ndarray, threshold) -> np.ndarray:
+    """Marks out of a function: marks that it never fires for stay."""
+    at = _next(upto, marks, threshold)
+    return np.where(at < len(upto), leave[np.minimum(at, len(upto) - 1)], marks)
+
+
+def _compose(threshold):
+    """One function for the neighbours of a block: what leaves one enters the next."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        upto = leave = least = None
+        for _, first, ups, outs in _children(pdf):
+            if upto is None:
+                least, upto, leave = first, ups, outs
+                continue
+            leave = _passed(leave, ups, outs, threshold)
+            # Unless every mark (all lie below the block) has fired by now, the steps of the next range follow.
+            if not upto[-1] - least > threshold:
+                upto, leave = np.append(upto, ups), np.append(leave, outs)
+        keys = pdf.drop(columns=["_node", "_least", "_upto", "_exit"]).rename(columns={"_block": "_node"})
+        return _pieces(keys, least, upto, leave)
+
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mark, moved = -np.inf, False
-        for batch in batches:
-            at: list[int] = []
-            marks: list[float] = []
-            names = ("_new_key", "_new_range", "_upto", "_exit")
-            cols = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
-            for i, (new_key, new_range, upto, leave) in enumerate(zip(*cols)):
-                if new_key:
-                    mark = -np.inf
-                if new_range:
-                    moved = False
-                    if not new_key:
-                        at.append(i)
-                        marks.append(mark)
-                if not moved and upto - mark > threshold:
-                    mark, moved = leave, True
-            entries = batch.take(pa.array(at, pa.int64())).drop_columns(list(names))
-            yield entries.append_column("_value", pa.array(marks, pa.float64()))
+
+def _descend(threshold):
+    """The mark that enters each neighbour of a block, from the mark that enters the block (node -1; none: the key starts here)."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        given = pdf["_node"] == -1
+        mark = pdf.loc[given, "_exit"].to_numpy()[:1] if given.any() else None
+        nodes, marks = [], []
+        for node, _, ups, outs in _children(pdf[~given]):
+            if mark is None:
+                mark = outs[:1]
+                continue
+            nodes.append(int(node))
+            marks.append(mark[0])
+            mark = _passed(mark, ups, outs, threshold)
+        rows = pdf.drop(columns=["_node", "_block", "_least", "_upto", "_exit"]).iloc[[0] * len(nodes)].reset_index(drop=True)
+        return rows.assign(_node=np.array(nodes, np.int64), _entry=np.array(marks, pdf["_exit"].dtype))
 
     return run
 
@@ -138,35 +177,66 @@ def delta_fires(
     if threshold < 0:
         raise ValueError("threshold must not be negative")
     columns = list(dict.fromkeys([*keys, *order, *keep]))
-    value = F.col(measure).cast("double")
-    rows = df.where(value.isNotNull() & ~F.isnan(value)).select(*columns, value.alias("_value"))
+    value, limit, back = _exact(df, measure, threshold)
+    rows = df.where(value.isNotNull()).select(*columns, value.alias("_value"))
     highs = scan(rows, keys, order, [greatest("_value", "_before")], inclusive=False, split=split)
     highs = highs.where(F.col("_before").isNull() | (F.col("_value") > F.col("_before"))).drop("_before")
     if split is None:
         marked = highs.withColumns({BUCKET: F.lit(0).cast("bigint"), "_seed": F.lit(False)})
     else:
         highs = staged(split.assign(highs))
-        entries = _entry_marks(highs, keys, threshold).withColumn("_seed", F.lit(True))
+        entries = _entry_marks(highs, keys, limit, split.ranges).withColumn("_seed", F.lit(True))
         marked = highs.withColumn("_seed", F.lit(False)).unionByName(entries, allowMissingColumns=True)
     # An entry mark comes from an earlier range, so it lies below the values of its own and sorts first.
     by_value = Window.partitionBy(*keys, BUCKET).orderBy("_value")
-    ready = marked.withColumn("_first", F.row_number().over(by_value) == 1).drop(BUCKET)
-    fired = ready.mapInArrow(_fire(threshold), _schema_without(ready, "_first", "_seed"))
-    return fired.withColumnRenamed("_value", measure)
-
-
-def _entry_marks(highs: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
-    """Mark with which each range of a hot key starts, except the first range."""
-    hot = highs.where(F.col(BUCKET) > 0).select(*keys, BUCKET, "_value")
-    names = _schema_without(hot, "_value").fields
-    doubles = [T.StructField(c, T.DoubleType()) for c in ("_upto", "_exit", "_value")]
-    steps = hot.groupBy(*keys, BUCKET).applyInPandas(_step_function(threshold), T.StructType([*names, *doubles[:2]]))
-    walk = Window.partitionBy(*keys).orderBy(BUCKET, "_upto")
-    ready = steps.withColumns({
-        "_new_key": F.row_number().over(walk) == 1,
-        "_new_range": F.coalesce(F.lag(BUCKET).over(walk) != F.col(BUCKET), F.lit(True)),
-    })
-    return ready.mapInArrow(_enter(threshold), T.StructType([*names, doubles[2]]))
+    ready = marked.withColumn("_first", F.row_number().over(by_value) == 1)
+    # The window left the rows in this order, so it costs nothing to ask for it.
+    ready = ready.sortWithinPartitions(*keys, BUCKET, "_value").drop(BUCKET)
+    fired = ready.mapInArrow(_fire(limit), _schema_without(ready, "_first", "_seed"))
+    return fired.select(*columns, back.alias(measure))
+
+
+def _exact(df: DataFrame, measure: str, threshold: float) -> tuple[Column, object, Column]:
+    """The measure as a number that is compared without rounding where its type allows: whole numbers and decimals of up to 18
+    digits as 64-bit integers, other decimals as they are, all else as double without NaN.  With the threshold, and the way back."""
+    kind, c, value = df.schema[measure].dataType, F.col(measure), F.col("_value")
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        scale = Decimal(10) ** kind.scale
+        return (c * F.lit(scale)).cast("bigint"), min(math.floor(Decimal(str(threshold)) * scale), 2**63 - 1), (value.cast("decimal(19,0)") / F.lit(scale)).cast(kind)
+    if isinstance(kind, T.DecimalType):
+        return c, Decimal(str(threshold)), value
+    if isinstance(kind, T.IntegralType):
+        return c.cast("bigint"), min(math.floor(threshold), 2**63 - 1), value
+    number = c.cast("double")
+    return F.when(~F.isnan(number), number), float(threshold), value
+
+
+def _entry_marks(highs: DataFrame, keys: Sequence[str], threshold, ranges: int) -> DataFrame:
+    """Mark with which each range of a hot key starts, except the first range.
+
+    ``ranges`` bounds the range numbers.  A task sees the functions of ``FAN`` neighbours, on the way up and down.
+    """
+    hot = highs.where(F.col(BUCKET) > 0).select(*keys, F.col(BUCKET).alias("_node"), "_value")
+    names = _schema_without(hot, "_value", "_node").fields
+    kind, node = hot.schema["_value"].dataType, T.StructField("_node", T.LongType())
+    steps = T.StructType([*names, node, *[T.StructField(c, kind) for c in ("_least", "_upto", "_exit")]])
+    entry = T.StructType([*names, node, T.StructField("_entry", kind)])
+    levels = [staged(hot.groupBy(*keys, "_node").applyInPandas(_step_function(threshold), steps))]
+    block = F.floor(F.col("_node") / FAN).alias("_block")
+    highest = ranges
+    while highest >= FAN:
+        below = levels[-1].select("*", block)
+        levels.append(staged(below.groupBy(*keys, "_block").applyInPandas(_compose(threshold), steps)))
+        highest //= FAN
+    entries = None
+    for level in reversed(levels):
+        rows = level.select("*", block)
+        if entries is not None:
+            mark = F.col("_entry")
+            rows = rows.unionByName(entries.select(*keys, F.lit(-1).cast("bigint").alias("_node"), mark.alias("_least"), mark.alias("_upto"),
+                                                   mark.alias("_exit"), F.col("_node").alias("_block")))
+        entries = rows.groupBy(*keys, "_block").applyInPandas(_descend(threshold), entry)
+    return entries.select(*keys, F.col("_node").alias(BUCKET), F.col("_entry").alias("_value"))
 
 
 def delta_trigger_top(
