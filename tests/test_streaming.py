@@ -1,5 +1,7 @@
 """Stream forms against the table forms and against hand-derived results."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,8 +127,8 @@ def test_count_windows(spark, tmp_path, n, slide):
 def test_delta_top(spark, tmp_path):
     schema = "id int, speed int, distance double, ms long"
     df = as_stream(spark, tmp_path, [M1[:2], M1[2:5], M1[5:]], schema).withColumn("ts", from_millis("ms"))
-    out = run(delta_top_stream(df, ["id"], ["ms"], "ts", "distance", "speed", 50, 10_000), tmp_path)
-    got = sorted((ms_of(r["fire_ts"]), r["top"], ms_of(r["top_ts"])) for r in out)
+    out = run(delta_top_stream(df, ["id"], ["ms"], "ts", "distance", "speed", 50, 10_000, ["speed", "ms"]), tmp_path)
+    got = sorted((ms_of(r["fire_ts"]), r["top"]["speed"], r["top"]["ms"]) for r in out)
     assert got == [(2000, 60, 2000), (12000, 55, 9000), (13000, 55, 9000)]
 
 
@@ -274,8 +276,73 @@ def test_late_split_restart(spark, tmp_path):
     assert {r["ms"] for r in late} == {1500, 2000, 13000}
     results = spark.read.parquet(f"{tmp_path}/out/results").collect()
     assert {(ms_of(r["window_start"]), r["n"]) for r in results} == {(0, 2), (12000, 1), (15000, 1)}
-    # Only the last two snapshots are kept.
-    assert sorted(p.name for p in (tmp_path / "out" / "windows").iterdir()) == ["batch=4", "batch=5"]
+    # Only the states of the last two batches are kept.
+    assert sorted(p.name for p in (tmp_path / "out" / "state").iterdir()) == ["batch=4", "batch=5"]
+
+
+def entries_of(tmp_path):
+    """Files of states by kind, batch and bucket."""
+    found = {p.relative_to(tmp_path / "out").parent.as_posix() for kind in ("appends", "base")
+             for p in (tmp_path / "out" / kind).rglob("*.parquet")}
+    return {(k, int(b.split("=")[1]), int(n.split("=")[1])) for k, b, n in (x.split("/") for x in found)}
+
+
+def test_late_split_writes_what_a_batch_touches(spark, tmp_path):
+    """One key in a batch: one bucket is written, whatever else is open; many appends become one table; over windows go."""
+    split = LateSplit(f"{tmp_path}/out", ["key"], "ts", 3000, [count_rows(), total("arr")], 1000, 2000, buckets=64, entries=3)
+    keys = [f"k{i}" for i in range(200)]
+    batches = [[(k, 1000, 1) for k in keys]] + [[("k7", 1500, i)] for i in range(2, 9)] + [[("k7", 60_000, 9)], [("k7", 61_000, 10)]]
+    seen = set()
+    for i, rows in enumerate(batches):
+        split(spark.createDataFrame(rows, M2_SCHEMA).withColumn("ts", from_millis("ms")), i)
+        now = entries_of(tmp_path)
+        written = {e for e in now - seen if e[1] == i}
+        assert i == 0 or {e[2] for e in written} == {next(iter(written))[2]}
+        seen |= now
+    high, log = split._state(spark, len(batches) - 1)
+    assert high == 61_000_000 and all(len(s.appends) < 3 for s in log.values())
+    mine = next(b for b, s in log.items() if s.ends)
+    assert {k for k, _, b in now if b == mine} <= {"base", "appends"} and len([e for e in now if e[2] == mine]) <= 6
+    results = spark.read.parquet(f"{tmp_path}/out/results").collect()
+    got = {(r["key"], ms_of(r["window_start"])): r["n"] for r in results}
+    assert got == {(k, 0): 1 + 7 * (k == "k7") for k in keys} and len(results) == 200
+    assert [(r["key"], r["n"]) for r in split.flush(spark, len(batches) - 1).collect()] == [("k7", 2)]
+
+
+def test_late_split_rerun_of_any_batch(spark, tmp_path):
+    """Each batch runs twice, the second time as after a failure before its commit; results are those of single runs."""
+    import random
+
+    rnd = random.Random(3)
+    batches = [[(rnd.choice("abcd"), 900 * i + rnd.randrange(-9000, 1500), 10 * i + j) for j in range(rnd.randrange(2, 6))] for i in range(7)]
+    outs = []
+    for runs, folder in ((1, "once"), (2, "twice")):
+        split = LateSplit(f"{tmp_path}/{folder}", ["key"], "ts", 3000, [count_rows(), total("arr")], 1000, 1500, 1500, buckets=3, entries=2)
+        for i, rows in enumerate(batches):
+            for _ in range(runs):
+                split(spark.createDataFrame(rows, M2_SCHEMA).withColumn("ts", from_millis("ms")), i)
+        results = spark.read.parquet(f"{tmp_path}/{folder}/results")
+        late = spark.read.schema(f"{M2_SCHEMA}, batch int").parquet(f"{tmp_path}/{folder}/late")
+        outs.append([sorted(map(str, df.collect())) for df in (results, late, split.flush(spark, len(batches) - 1))])
+    assert outs[0] == outs[1] and all(outs[0])
+
+
+def test_interval_join_spreads_a_hot_key_and_forgets(spark, tmp_path):
+    """One key for all rows: the cell is in the key of the state, and state follows the watermark, not the input."""
+    schema = "name string, ms long, v long"
+    sides = [[[("x", 10**6 + 1000 * (10 * i + j) + off, 10 * i + j) for j in range(10)] for i in range(12)] for off in (0, 400)]
+    left, right = (as_stream(spark, tmp_path / n, s, schema).withColumn("ts", from_millis("ms")) for n, s in zip("lr", sides))
+    joined_ = interval_join_stream(left, right, ["name"], "ts", "ts", 1000, 1000, 0)
+    seen = []
+    query = start(joined_, f"{tmp_path}/checkpoint", "append", lambda b, i: seen.extend((r["l_v"], r["r_v"]) for r in b.collect()))
+    query.awaitTermination()
+    flat = lambda s: spark.createDataFrame([r for rs in s for r in rs], schema).withColumn("ts", from_millis("ms"))
+    want = interval_join(flat(sides[0]), flat(sides[1]), ["name"], "ts", "ts", 1000, 1000).collect()
+    assert sorted(seen) == sorted((r["l_v"], r["r_v"]) for r in want) and len(seen) == 2 * 120 - 1
+    kept = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 90 and kept[-1] <= 60
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert all("_cell" in k for k in re.findall(r"hashpartitioning\(([^)]*)\)", plan)) and "hashpartitioning" in plan
 
 
 def test_console_and_period(spark, tmp_path, capfd):
@@ -295,18 +362,21 @@ def test_delta_stream_agrees_with_the_table(spark, tmp_path):
 
     rnd = random.Random(4)
     rows, dist, now = [], {}, 1000
-    for i in range(120):
-        key = rnd.choice(["a", "b"])
+    for i in range(160):
+        key = rnd.choice(["a", "b", None])
         now += rnd.choice([0, 40, 300])
-        dist[key] = dist.get(key, 0.0) + rnd.random() * 9
-        rows.append((key, i, dist[key], now, rnd.randrange(5)))
-    schema = "key string, arr long, dist double, ms long, speed int"
-    df = as_stream(spark, tmp_path, [rows[:50], rows[50:90], rows[90:]], schema).withColumn("ts", from_millis("ms"))
-    out = run(delta_top_stream(df, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500), tmp_path)
-    table = spark.createDataFrame(rows, schema).withColumn("ts", from_millis("ms"))
-    want = delta_trigger_top(table, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500, ["speed", "ms"]).collect()
-    got = sorted((r["key"], r["fire_ts"], r["top"], ms_of(r["top_ts"])) for r in out)
-    assert got == sorted((r["key"], r["fire_ts"], r["top"]["speed"], r["top"]["ms"]) for r in want)
+        dist[key] = dist.get(key, 2**60) + rnd.randrange(9)
+        rows.append((key, i, dist[key], now, rnd.choice([None, 0, 1, 2, 3, 4]), rnd.choice([None, "x", 'q"é'])))
+    schema = "key string, arr long, dist long, ms long, speed int, note string"
+    batches = [rows[:50], rows[50:52], rows[52:90], rows[90:]]
+    df = as_stream(spark, tmp_path, batches, schema).withColumn("ts", F.timestamp_micros(F.col("ms") * 1000 + F.col("arr")))
+    fields = ["speed", "note", "ts", "dist"]
+    out = run(delta_top_stream(df, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500, fields), tmp_path)
+    table = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_micros(F.col("ms") * 1000 + F.col("arr")))
+    want = delta_trigger_top(table, ["key"], ["arr"], "ts", "dist", "speed", 20, 1500, fields)
+    pick = lambda r: (str(r["key"]), r["arr"], r["fire_ts"], r["top"] and tuple(r["top"]) if r["top"] and r["top"]["speed"] is not None else None)
+    assert sorted(map(pick, out)) == sorted(map(pick, want.collect())) and len(out) > 10
+    assert out[0].__fields__ == want.columns
 
 
 def test_ordered_reduce_on_a_stream(spark, tmp_path):

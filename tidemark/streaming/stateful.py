@@ -1,7 +1,8 @@
 """Count windows and delta triggers on streams: custom state per key.
 
 Rows of one micro-batch reach a key in no fixed order, so the processors sort them by the order columns first.  State is
-bounded: at most ``n`` rows for a count window, one mark and the rows younger than the eviction time for a delta trigger.
+bounded: at most ``n`` rows for a count window; for a delta trigger one mark and those rows younger than the eviction time that
+have a greater rank than all after them.
 A key's share of a micro-batch is held in memory, so bound micro-batches at the source (``maxOffsetsPerTrigger``,
 ``maxFilesPerTrigger``).  RocksDB must be the state store.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -50,35 +51,61 @@ class CountWindows(StatefulProcessor):
 
 
 class DeltaTop(StatefulProcessor):
-    """Fires when the measure is more than ``threshold`` above the mark; reports the top row younger than the eviction time."""
+    """Fires when the measure is more than ``threshold`` above the mark; reports the top row younger than the eviction time.
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], threshold: float, evict_us: int):
-        self.keys, self.order, self.threshold, self.evict_us = list(keys), list(order), threshold, evict_us
+    The candidates for the top are a deque: each has a greater rank than all that came after it, so a new row drives out the
+    lower ones at the end, and old ones leave at the front.  It is kept as numbered entries of a map with the numbers of its
+    ends, so a micro-batch reads and writes only the entries that come or go.
+    """
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], threshold: float, evict_us: int, kinds: tuple[str, str]):
+        self.keys, self.order, self.threshold, self.evict_us, self.kinds = list(keys), list(order), threshold, evict_us, kinds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mark = handle.getValueState("mark", "value double")
-        self.recent = handle.getListState("recent", "us bigint, top double")
+        measure, rank = self.kinds
+        self.mark = handle.getValueState("mark", f"value {measure}")
+        self.ends = handle.getValueState("ends", "front bigint, back bigint, newest bigint")
+        self.entries = handle.getMapState("entries", "at bigint", f"us bigint, rank {rank}, content string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         mark = self.mark.get()[0] if self.mark.exists() else None
-        recent = list(self.recent.get()) if self.recent.exists() else []
-        out = []
-        for us, measure, top in _in_order(rows, self.order)[["row_us", "row_measure", "row_by"]].itertuples(index=False):
-            recent.append((us, top))
+        front, back, newest = self.ends.get() if self.ends.exists() else (0, 0, None)
+        kept, known, out = range(front, back), {}, []
+
+        def entry(at: int):
+            if at not in known:
+                known[at] = tuple(self.entries.getValue((at,)))
+            return known[at]
+
+        changed = set()
+        rows = _in_order(rows, self.order)
+        names = ["row_us", "row_measure", "row_rank", "row_ranked", "row_content"]
+        for us, measure, rank, ranked, content in zip(*(rows[c].tolist() for c in names)):
+            newest = us if newest is None else max(newest, us)
+            if ranked:
+                # The first of equal ranks wins.
+                while back > front and entry(back - 1)[1] < rank:
+                    back -= 1
+                known[back] = (us, rank, content)
+                changed.add(back)
+                back += 1
+            while back > front and entry(front)[0] <= newest - self.evict_us:
+                front += 1
             if mark is None:
                 mark = measure
             elif measure - mark > self.threshold:
                 mark = measure
-                # Eviction looks at the newest time seen; the first of equal tops wins.
-                bound = max(r[0] for r in recent) - self.evict_us
-                recent = [r for r in recent if r[0] > bound]
-                best = max(recent, key=lambda r: r[1])
-                out.append((*key, us, best[1], best[0]))
-        newest = max(r[0] for r in recent)
-        self.mark.update((float(mark),))
-        self.recent.put([(int(u), float(t)) for u, t in recent if u > newest - self.evict_us])
+                out.append((*key, us, content, entry(front)[2] if back > front else None))
+        for at in kept:
+            if at < front or at >= back:
+                self.entries.removeKey((at,))
+        for at in changed:
+            if front <= at < back:
+                self.entries.updateValue((at,), known[at])
+        self.mark.update((mark,))
+        self.ends.update((front, back, newest))
         if out:
-            yield pd.DataFrame(out, columns=[*self.keys, "fire_us", "top", "top_us"])
+            yield pd.DataFrame(out, columns=[*self.keys, "fire_us", "fired", "top"])
 
     def close(self) -> None:
         pass
@@ -101,23 +128,41 @@ def count_windows_stream(
     return rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "None")
 
 
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+
+
 def delta_top_stream(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, measure: str, by: str, threshold: float, evict_ms: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, measure: str, by: str, threshold: float, evict_ms: int,
+    fields: Sequence[str],
 ) -> DataFrame:
-    """Per firing: keys, ``fire_ts``, the greatest ``by`` of the window as ``top`` and its time ``top_ts``.
+    """The delta trigger as a stream, with the columns of the table form: keys, order columns, ``fire_ts``, and ``top``, ``fields`` of
+    the row with the greatest ``by`` (the first on ties) among rows that arrived up to the firing and are less than
+    ``evict_ms`` older than it.
 
-    Rows without time, measure or ``by`` are left out.
+    Rows without time or measure are left out; rows without ``by`` can fire but not be the top.  Times must not decrease in
+    arrival order within a key.  Whole numbers are compared as such, other measures and ranks as doubles.  Contents travel through
+    the state as JSON, so ``fields`` may have any type that JSON keeps.
     """
-    rows = df.select(
-        *keys, *order, F.unix_micros(ts).alias("row_us"), F.col(measure).cast("double").alias("row_measure"),
-        F.col(by).cast("double").alias("row_by"),
-    ).dropna(subset=["row_us", "row_measure", "row_by"])
+    def number(name: str) -> tuple[str, Column]:
+        kind = "bigint" if isinstance(df.schema[name].dataType, T.IntegralType) else "double"
+        return kind, F.col(name).cast(kind)
+
+    (measured, value), (ranked, rank) = number(measure), number(by)
+    content = list(dict.fromkeys([*order, *fields]))
+    usable = value.isNotNull() & F.col(ts).isNotNull() & ~F.isnan(value.cast("double"))
+    rows = df.where(usable).select(
+        *keys, *order, F.unix_micros(ts).alias("row_us"), value.alias("row_measure"),
+        F.coalesce(rank, F.lit(0).cast(ranked)).alias("row_rank"), rank.isNotNull().alias("row_ranked"),
+        F.to_json(F.struct(*content), JSON).alias("row_content"),
+    )
     schema = T.StructType([
-        *_keys(df, keys), T.StructField("fire_us", T.LongType()), T.StructField("top", T.DoubleType()),
-        T.StructField("top_us", T.LongType()),
+        *_keys(df, keys), T.StructField("fire_us", T.LongType()), T.StructField("fired", T.StringType()), T.StructField("top", T.StringType())
     ])
-    processor = DeltaTop(keys, order, threshold, evict_ms * 1000)
+    processor = DeltaTop(keys, order, threshold, evict_ms * 1000, (measured, ranked))
     fired = rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "None")
+    whole = T.StructType([df.schema[c] for c in content])
+    fired = fired.withColumns({c: F.from_json(c, whole, JSON) for c in ("fired", "top")})
     return fired.select(
-        *keys, F.timestamp_micros("fire_us").alias("fire_ts"), "top", F.timestamp_micros("top_us").alias("top_ts")
+        *keys, *[F.col(f"fired.{c}").alias(c) for c in order], F.timestamp_micros("fire_us").alias("fire_ts"),
+        F.when(F.col("top").isNotNull(), F.struct(*[F.col(f"top.{c}").alias(c) for c in fields])).alias("top"),
     )
