@@ -1,18 +1,22 @@
 """Tumbling, sliding, session and delta windows, watermarks and late rows, against event-by-event Python."""
 
 import random
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import count_rows, first_by, greatest, joined, last_by, least, top_row, total
 from tidemark.functions.times import from_millis
+from tidemark.operators import delta
 from tidemark.operators.delta import delta_fires, delta_trigger_top
 from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split
 from tidemark.operators.sessions import sessions
 from tidemark.operators.watermark import (
-    ascending_violations, final_firings, firing_log, is_late, lag_watermark_column, late_rows, watermark_column,
+    ascending_violations, final_firings, firing_log, is_late, lag_watermark_column, late_rows, partitioned_watermark_column,
+    watermark_column,
 )
 from tidemark.operators.windows import sliding, tumbling, window_content
 
@@ -192,6 +196,33 @@ def test_punctuated_lag_and_ascending(spark):
         assert edge.withColumn("watermark", from_millis(F.lit(wm))).select(is_late("ts", 3000)).first()[0] is late
 
 
+@pytest.mark.parametrize("size,slide", [(3000, 1000), (5000, 700), (1000, 999), (2000, 7), (700, 500)])
+def test_overlapping_windows_in_three_ways(spark, size, slide):
+    rnd = random.Random(size)
+    rows = [(rnd.choice(["a", None]), rnd.choice([rnd.randrange(-4000, 4000), 10**6, -1, 0, None]), i, rnd.choice([None, 3, 5]))
+            for i in range(40 if slide > 9 else 4)]
+    df = spark.createDataFrame(rows, "key string, ms long, arr long, v long").withColumn("ts", from_millis("ms"))
+    aggs = [count_rows("n"), total("v", "s"), least("v", "lo"), first_by("arr", ["arr"], "f"), last_by("v", ["arr"], "l"), top_row("v", ["arr"], ["arr"], "t")]
+    got = [sorted(map(str, sliding(df, ["key"], "ts", size, slide, aggs, how).collect())) for how in ("copies", "panes", "blocks")]
+    assert got[0] == got[1] == got[2] and got[0]
+
+
+@pytest.mark.parametrize("waited", [["a", "b", "c"], ["a", "never"], ["b"]])
+def test_watermark_of_the_slowest_partition(spark, waited):
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["a", "b", "c", None]), 100 * i + rnd.randrange(-900, 900) if i % 13 else None, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "part string, ms long, arr long").withColumn("ts", from_millis("ms")).repartition(3)
+    split = plan_split(df, [], ["arr"], buckets=6)
+    out = partitioned_watermark_column(df, "ts", "part", waited, ["arr"], 2000, split, valid=F.col("arr") % 7 != 0)
+    high, want = {}, {}
+    for part, ms, arr in rows:
+        want[arr] = min(high.values()) - 2000 if len(high) == len(waited) else None
+        if part in waited and ms is not None and arr % 7:
+            high[part] = max(high.get(part, ms), ms)
+    assert {r["arr"]: r["watermark"] and us(r["watermark"]) for r in out.collect()} == want
+    assert out.columns == [*df.columns, "watermark"]
+
+
 def fires(rows, threshold):
     mark, out = {}, []
     for key, arr, dist in rows:
@@ -220,6 +251,38 @@ def test_delta_fires_of_hot_keys(spark, threshold, shape):
         assert sorted(((r["key"], r["arr"]) for r in out.collect()), key=str) == want
 
 
+@pytest.mark.parametrize("kind,start,unit", [("long", 2**60, 1), ("decimal(12,3)", Decimal("0.001"), Decimal("0.001")),
+                                             ("decimal(30,6)", Decimal(10) ** 20, Decimal("0.000001")), ("long", 2**63 - 10**5, 1)])
+@pytest.mark.parametrize("threshold", [0, 7, 400])
+def test_delta_fires_compare_without_rounding(spark, kind, start, unit, threshold):
+    """Neighbouring values here share a double; with ranges of a few rows the tree of functions has several levels."""
+    rnd = random.Random(5)
+    rows, at = [], 0
+    for i in range(1500):
+        at += rnd.choice([0, 1, 1, 2, 9])
+        rows.append(("hot" if i % 10 else "cold", i, start + at * unit))
+    df = spark.createDataFrame(rows, f"key string, arr long, x {kind}").repartition(4)
+    limit = threshold * unit
+    want = sorted(fires(rows, limit))
+    for split in (None, plan_split(df, ["key"], ["arr"], hot_rows=300, buckets=400)):
+        out = delta_fires(df, ["key"], ["arr"], "x", float(limit), split)
+        assert dict(out.dtypes)["x"] == ("bigint" if kind == "long" else kind)
+        assert sorted((r["key"], r["arr"]) for r in out.collect()) == want
+        assert all(r["x"] == rows[r["arr"]][2] for r in out.collect())
+
+
+def test_delta_tasks_see_a_block_of_functions(spark):
+    """What a call of the tree sees is bounded by the neighbours of a block, however many ranges there are."""
+    df = spark.range(40_000).select(F.lit("k").alias("k"), "id", (F.col("id") * 3).alias("x"))
+    split = plan_split(df, ["k"], ["id"], hot_rows=1000, buckets=2000)
+    assert split.ranges > delta.FAN ** 2
+    pieces = pd.DataFrame([("k", 0, n, n * 60, n * 60 + 50, n * 60 + 102) for n in range(delta.FAN)],
+                          columns=["k", "_block", "_node", "_least", "_upto", "_exit"])
+    assert len(delta._compose(100)(pieces)) <= 2 * delta.FAN
+    got = [r["id"] for r in delta_fires(df, ["k"], ["id"], "x", 100, split).orderBy("id").collect()]
+    assert got == [f[1] for f in fires([("k", i, i * 3) for i in range(40_000)], 100)]
+
+
 def test_delta_trigger_fixture(spark):
     df = spark.createDataFrame(M1, "id int, speed int, distance double, ms long").withColumn("ts", from_millis("ms"))
     out = delta_trigger_top(df, ["id"], ["ms"], "ts", "distance", "speed", 50, 10_000, ["speed", "ms"])

@@ -43,6 +43,34 @@ def watermark_column(
     return high.withColumn(name, F.timestamp_micros(F.col("_high") - F.lit(delay_ms * 1000))).drop("_seen", "_high")
 
 
+def partitioned_watermark_column(
+    df: DataFrame,
+    ts: str,
+    partition: str,
+    partitions: Sequence,
+    order: Sequence[str],
+    delay_ms: int,
+    split: Split | None,
+    valid: Column | None = None,
+    name: str = WATERMARK,
+) -> DataFrame:
+    """Watermark met by each row where every source partition has its own, and the least of them counts.
+
+    ``partitions`` names the values of the column ``partition`` that are waited for, as a source's reader knows them.  Until each
+    of them has sent a valid row there is no watermark.  Rows of other partitions (also null) do not move it.  One
+    scan carries the greatest time of every partition; its state is one number per partition, whatever the rows.
+    """
+    valid = F.lit(True) if valid is None else valid
+    if not partitions:
+        raise ValueError("name the partitions to wait for")
+    marks = [f"_high_{i}" for i in range(len(partitions))]
+    seen = [F.when(valid & (F.col(partition) == F.lit(p)), micros(ts)).alias(f"_seen_{i}") for i, p in enumerate(partitions)]
+    high = scan(df.select("*", *seen), [], order, [greatest(f"_seen_{i}", m) for i, m in enumerate(marks)], inclusive=False, split=split)
+    low = F.array_min(F.array(*marks))
+    all_seen = F.forall(F.array(*marks), lambda m: m.isNotNull())
+    return high.withColumn(name, F.when(all_seen, F.timestamp_micros(low - F.lit(delay_ms * 1000)))).select(*df.columns, name)
+
+
 def lag_watermark_column(df: DataFrame, ingest: str, lag_ms: int, name: str = WATERMARK) -> DataFrame:
     """Watermark that trails the ingest clock by a fixed lag."""
     return df.withColumn(name, F.timestamp_micros(micros(ingest) - F.lit(lag_ms * 1000)))

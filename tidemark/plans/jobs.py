@@ -18,7 +18,7 @@ from tidemark.operators.delta import delta_trigger_top
 from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split
 from tidemark.operators.watermark import firing_log, late_rows, watermark_column
-from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_start
+from tidemark.operators.windows import COPIES, concat_in_order, sliding, tumbling, window_start
 from tidemark.sources.staging import staged
 
 
@@ -89,12 +89,12 @@ def keyed_windows(lines: DataFrame, size_ms: int = 3000, mode: str = "fail") ->
 
 
 def car_sliding(
-    lines: DataFrame, size_ms: int = 10_000, slide_ms: int = 5000, parser: P.LineParser = P.CAR_JSON_LINE, mode: str = "fail"
+    lines: DataFrame, size_ms: int = 10_000, slide_ms: int = 5000, parser: P.LineParser = P.CAR_JSON_LINE, mode: str = "fail",
+    overlap: str = COPIES,
 ) -> DataFrame:
     """Sum and row count per car kind and sliding window."""
-    return sliding(
-        _timed(lines, parser, mode), ["car_kind"], "ts", size_ms, slide_ms, [total("car_sum", "total"), count_rows("n")]
-    )
+    aggs = [total("car_sum", "total"), count_rows("n")]
+    return sliding(_timed(lines, parser, mode), ["car_kind"], "ts", size_ms, slide_ms, aggs, overlap)
 
 
 def counted_messages(lines: DataFrame, arrival: Sequence[str], size_ms: int = 10_000) -> DataFrame:

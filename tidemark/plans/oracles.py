@@ -33,6 +33,18 @@ def _watermark(delay_us: int, seen: str = "epoch_us(ts)") -> str:
     SELECT event_id, make_timestamp(high - {delay_us}) AS watermark FROM m"""
 
 
+def _partitioned_watermark(delay_us: int, partitions: int) -> str:
+    highs = ", ".join(
+        f"max(CASE WHEN user_id % {partitions} = {i} THEN epoch_us(ts) END) OVER w AS h{i}" for i in range(partitions))
+    names = [f"h{i}" for i in range(partitions)]
+    return f"""
+    WITH {EVENTS}, m AS (
+      SELECT event_id, {highs} FROM ev
+      WINDOW w AS (ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT event_id, CASE WHEN {" AND ".join(f"{n} IS NOT NULL" for n in names)}
+      THEN make_timestamp(least({", ".join(names)}) - {delay_us}) END AS watermark FROM m"""
+
+
 HOUR_US = 3_600_000_000
 
 MARKED = f"""{EVENTS}, marked AS (
@@ -127,6 +139,12 @@ ORACLES = {
       SELECT event_type, {bucket('1 hours')} - to_hours(i) AS window_start FROM ev, range(2) t(i))
     SELECT event_type, epoch_ms(window_start) AS start_ms, 'clickNum:' || count(*) AS line FROM w GROUP BY event_type, window_start""",
     "slide_panes": _sliding(24, 2, "count(*) AS n, min(ts) AS min_ts, arg_max(event_id, (arr, event_id)) AS last_id"),
+    "slide_blocks": f"""
+    WITH {EVENTS}, w AS (
+      SELECT ev.*, {bucket('10 minutes')} - to_minutes(10 * i) AS window_start FROM ev, range(144) t(i))
+    SELECT event_type, window_start, window_start + INTERVAL '24 hours' AS window_end, count(*) AS n, min(ts) AS min_ts,
+           arg_max(event_id, (arr, event_id)) AS last_id, CAST(sum(user_id) AS BIGINT) AS sum_user
+    FROM w GROUP BY event_type, window_start""",
     "session_sum": f"""
     WITH {EVENTS}, g AS (
       SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL '6 hours' THEN 0 ELSE 1 END AS o
@@ -197,6 +215,7 @@ ORACLES = {
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 400000""",
     "sql_project": "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders",
     "watermark_column": _watermark(HOUR_US),
+    "watermark_partitioned": _partitioned_watermark(HOUR_US, 4),
     "watermark_punctuated": _watermark(0, "CASE WHEN event_type <> 'error' THEN epoch_us(ts) END"),
     "watermark_explicit": _watermark(1000),
     "ascending_violations": f"""

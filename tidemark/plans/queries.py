@@ -18,9 +18,10 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.scan import plan_split, scan
 from tidemark.operators.sessions import sessions
 from tidemark.operators.watermark import (
-    ascending_violations, behind_watermark, final_firings, firing_log, lag_watermark_column, late_rows, watermark_column,
+    ascending_violations, behind_watermark, final_firings, firing_log, lag_watermark_column, late_rows, partitioned_watermark_column,
+    watermark_column,
 )
-from tidemark.operators.windows import concat_in_order, sliding, tumbling, window_content, window_start
+from tidemark.operators.windows import BLOCKS, COPIES, concat_in_order, sliding, tumbling, window_content, window_start
 from tidemark.operators.wordcount import running_count, windowed_word_count, word_count
 from tidemark.plans import jobs
 from tidemark.sources.staging import staged
@@ -72,7 +73,7 @@ def tumble_sum_first(spark, d):
 
 
 def slide_sum(spark, d):
-    out = sliding(events(spark, d), ["user_id"], "ts", 2 * HOUR, HOUR, [total("value", "sum_value")])
+    out = sliding(events(spark, d), ["user_id"], "ts", 2 * HOUR, HOUR, [total("value", "sum_value")], COPIES)
     return plain_times(out.withColumn("sum_value", money("sum_value")))
 
 
@@ -84,12 +85,12 @@ def sum_lines(spark, d):
 
 def click_lines(spark, d):
     """Printed lines of a sliding count."""
-    out = sliding(events(spark, d), ["event_type"], "ts", 2 * HOUR, HOUR, [count_rows("n")])
+    out = sliding(events(spark, d), ["event_type"], "ts", 2 * HOUR, HOUR, [count_rows("n")], COPIES)
     return out.select("event_type", F.unix_millis("window_start").alias("start_ms"), payload.click_line().alias("line"))
 
 
 def slide_count(spark, d):
-    return plain_times(sliding(events(spark, d), ["user_id"], "ts", 2 * HOUR, HOUR, [count_rows("n")]))
+    return plain_times(sliding(events(spark, d), ["user_id"], "ts", 2 * HOUR, HOUR, [count_rows("n")], COPIES))
 
 
 def slide_panes(spark, d):
@@ -97,6 +98,12 @@ def slide_panes(spark, d):
     return plain_times(sliding(events(spark, d), ["user_id"], "ts", DAY, 2 * HOUR, aggs))
 
 
+def slide_blocks(spark, d):
+    """A day every ten minutes: 144 windows over each row."""
+    aggs = [count_rows("n"), least("ts", "min_ts"), last_by("event_id", ARRIVAL, "last_id"), total("user_id", "sum_user")]
+    return plain_times(sliding(events(spark, d), ["event_type"], "ts", DAY, 10 * MINUTE, aggs, BLOCKS))
+
+
 def session_sum(spark, d):
     ev = events(spark, d)
     aggs = [count_rows("n"), total("value", "sum_value"), first_by("event_type", ARRIVAL, "event_type")]
@@ -223,6 +230,13 @@ def watermark_explicit(spark, d):
     return plain_times(_marked(spark, d, 1)[1].select("event_id", "watermark"))
 
 
+def watermark_partitioned(spark, d):
+    """Four source partitions; the slowest holds the watermark back."""
+    ev = events(spark, d).withColumn("part", F.col("user_id") % 4)
+    out = partitioned_watermark_column(ev, "ts", "part", range(4), ARRIVAL, HOUR, plan_split(ev, [], ARRIVAL))
+    return plain_times(out.select("event_id", "watermark"))
+
+
 def out_of_order(spark, d):
     ev = events(spark, d)
     bad = ascending_violations(ev, ["event_type"], "ts", ARRIVAL, plan_split(ev, ["event_type"], ARRIVAL))
@@ -464,6 +478,7 @@ QUERIES = {
     "sum_lines": sum_lines,
     "click_lines": click_lines,
     "slide_panes": slide_panes,
+    "slide_blocks": slide_blocks,
     "session_sum": session_sum,
     "ingest_window_fold": ingest_window_fold,
     "word_count": documents_word_count,
@@ -484,6 +499,7 @@ QUERIES = {
     "watermark_column": watermark_bounded,
     "watermark_punctuated": watermark_punctuated,
     "watermark_explicit": watermark_explicit,
+    "watermark_partitioned": watermark_partitioned,
     "ascending_violations": out_of_order,
     "firing_log": firings,
     "firing_log_sliding": firings_sliding,
