@@ -289,5 +289,5 @@ def test_no_task_sees_all_ranges(spark):
     text = out._jdf.queryExecution().executedPlan().toString()
     # What meets in one task are the totals of blocks, about a hundred.
     alone = re.findall(r"Exchange SinglePartition.*\n(.*)\n", text)
-    assert alone and all("HashAggregate(keys=[_block" in x for x in alone)
+    assert alone and all("HashAggregate(keys=[_ranges" in x for x in alone)
     assert out.agg(F.max("s")).first()[0] == sum(i % 7 for i in range(20_000))

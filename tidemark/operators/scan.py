@@ -346,7 +346,7 @@ def scan(
         rows = split.assign(states)
         summed = rows if totals_from is None else split.assign(totals_from.select("*", *state_columns(aggs)))
         totals = merged(summed.where(F.col(BUCKET) > 0), [*group, BUCKET], aggs)
-        blocks = [] if split.ranges <= FLAT else ["_block"]
+        blocks = [] if split.ranges <= FLAT else ["_ranges"]
         totals = totals.withColumns({b: F.floor(F.col(BUCKET) / math.isqrt(split.ranges)) for b in blocks})
         seeds = prefix(totals, group, [*blocks, BUCKET], aggs, reverse).drop(*blocks).withColumn("_seed", F.lit(True))
         rows = rows.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
