@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from tokenizers import Tokenizer
 from tidemark.llm.shared import written
 from tidemark.llm.tokens import byte_signs, spans
 
-BATCH_TEXT = 1 << 21
+BATCH_TEXT = 1 << 20
 # So many parts of texts keep their alignment in a task, and so many pairs are broadcast at most.
-CACHED = 1 << 19
+CACHED = 3 << 17
 # So many parts are encoded in one go; groups with more links than LARGE are counted by distinct ids.
 TOGETHER = 1000
 LARGE = 4096
@@ -193,12 +194,13 @@ def _align(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(a_path, b_path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             begin, size = 0, 0
-            for i, text in enumerate(texts):
-                size += len(text or "")
-                if size >= BATCH_TEXT or i + 1 == len(texts):
-                    counts, groups, first, pairs, times = aligner.align(texts[begin:i + 1])
+            for i, own in enumerate(sizes):
+                size += own
+                if size >= BATCH_TEXT or i + 1 == len(sizes):
+                    texts = batch.column("text").slice(begin, i + 1 - begin).to_pylist()
+                    counts, groups, first, pairs, times = aligner.align(texts)
                     links = pa.MapArray.from_arrays(pa.array(first, pa.int32()), pa.array(pairs), pa.array(times))
                     rows = batch.slice(begin, i + 1 - begin)
                     yield pa.RecordBatch.from_arrays(
