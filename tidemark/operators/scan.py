@@ -67,9 +67,9 @@ def _parts(kind: T.DataType, c: Column, octets: int, large: bool) -> list[Column
         parts = [*steps, F.octet_length(c)]
     elif isinstance(kind, (T.FloatType, T.DoubleType)):
         finite = ~F.isnan(c) & (F.abs(c) < math.inf)
-        # A quarter, so that differences stay finite; the two zeros are one value in Spark's order.
+        # The two zeros are one value in Spark's order.
         parts = [F.when(finite, 0.0).when(F.isnan(c), 2.0).when(c > 0, 1.0).when(c < 0, -1.0),
-                 F.when(finite & (c != 0), c.cast("double") / 4).otherwise(0.0)]
+                 F.when(finite & (c != 0), c.cast("double")).otherwise(0.0)]
     elif isinstance(kind, T.DecimalType):
         parts, rest = [], c
         for power in (30, 15, 0, -15, -30):
@@ -101,6 +101,8 @@ class Split:
     ranges: int = 1
     # Does some value of the first order column fill a range alone?
     heavy: bool = False
+    # The parts that cut the cells of each level, from and to.
+    cut_by: tuple[tuple[int, int], ...] = ((0, 0),)
     # How many parts the first order column has.
     first_parts: int = 1
 
@@ -129,17 +131,23 @@ class Split:
         # Spark broadcasts the table if it is small, and splits the hot keys' rows if it is not.
         return df.join(found, self._same(names, digits), "left").drop(*names, *[f"_cell{d}" for d in digits])
 
-    def _digit(self) -> Column:
+    def part(self, level: int, shift: int = 0) -> Column:
+        """The part that cuts the cell of a row (``shift``: the one so many after it); null where there is none."""
+        first, last = self.cut_by[level]
+        some = [i for i in range(first, last + 1) if 0 <= i + shift < len(self.parts)]
+        return reduce(lambda rest, i: F.when(F.col("_at") == i, self.parts[i + shift]).otherwise(rest), some, F.lit(None).cast("double"))
+
+    def _digit(self, level: int) -> Column:
         """The cell of a row inside the cell whose ``_lo`` to ``_hi`` is cut into ``_pieces``; null where nothing is cut.
 
         Rows that were not there when the split was planned find their place too: 0 and ``_pieces`` + 1 are the rows below
         and above the single value of a cell that is cut by the next part.
         """
-        at = [F.col("_at") == i for i in range(len(self.parts))]
-        x = reduce(lambda rest, i: F.when(at[i], self.parts[i]).otherwise(rest), range(1, len(self.parts)), self.parts[0])
-        before = reduce(lambda rest, i: F.when(at[i], self.parts[i - 1]).otherwise(rest), range(1, len(self.parts)), F.lit(None).cast("double"))
-        step = F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_pieces"))
-        inside = F.when(F.col("_hi") > F.col("_lo"), F.greatest(F.lit(0), F.least(step, F.col("_pieces") - 1))).otherwise(0) + 1
+        x, before = self.part(level), self.part(level, -1)
+        # In quarters, so that differences stay finite; what is too small for that is parted in two.
+        at, lo, hi, last = x / 4, F.col("_lo") / 4, F.col("_hi") / 4, F.col("_pieces") - 1
+        step = F.greatest(F.lit(0), F.least(F.floor((at - lo) / (hi - lo) * F.col("_pieces")), last))
+        inside = F.when(hi > lo, step).when((F.col("_hi") > F.col("_lo")) & (x > F.col("_lo")), last).otherwise(0) + 1
         return F.when(before < F.col("_pin"), 0).when(before > F.col("_pin"), F.col("_pieces") + 1).when(
             F.col("_pieces").isNotNull(), inside).cast("bigint")
 
@@ -152,10 +160,10 @@ class Split:
                                  "_pin": F.lit(None).cast("double")})
         else:
             df = self._look_up(df, self.roots, [])
-        df = df.withColumn("_d0", self._digit())
+        df = df.withColumn("_d0", self._digit(0))
         for i, table in enumerate(self.opened):
             df = self._look_up(df.drop(*CELL), table, [f"_d{j}" for j in range(i + 1)])
-            df = df.withColumn(f"_d{i + 1}", F.when(F.col("_d0").isNotNull(), F.coalesce(self._digit(), F.lit(0))))
+            df = df.withColumn(f"_d{i + 1}", F.when(F.col("_d0").isNotNull(), F.coalesce(self._digit(i + 1), F.lit(0))))
         return df
 
     def assign(self, df: DataFrame) -> DataFrame:
@@ -232,22 +240,21 @@ def plan_split(
     counted = []
     while True:
         digits = [f"_d{i}" for i in range(len(split.opened) + 1)]
-        at = [F.col("_at") == i for i in range(len(parts))]
-        x = reduce(lambda rest, i: F.when(at[i], parts[i]).otherwise(rest), range(1, len(parts)), parts[0])
-        following = reduce(lambda rest, i: F.when(at[i - 1], parts[i]).otherwise(rest), range(1, len(parts)), F.lit(None).cast("double"))
+        x, following = split.part(len(split.opened)), split.part(len(split.opened), 1)
         found = split.placed(rows).where(F.col("_pieces").isNotNull()).groupBy(*keys, *digits, "_at").agg(
             F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"),
             F.min(following).alias("_next_lo"), F.max(following).alias("_next_hi"))
         found = staged(found) if split.opened else found
         again = _cut_again(found, [*keys, *digits], share)
-        deepest = again.agg(F.max("_at")).first()[0]
+        first, deepest = again.agg(F.min("_at"), F.max("_at")).first()
         if deepest is not None and not split.opened:
             found = staged(found)
             again = _cut_again(found, [*keys, *digits], share)
         counted.append(found)
         if deepest is None:
             break
-        split = replace(split, opened=(*split.opened, again), heavy=split.heavy or column[deepest] > 0)
+        split = replace(split, opened=(*split.opened, again), cut_by=(*split.cut_by, (first, deepest)),
+                        heavy=split.heavy or column[deepest] > 0)
     if not split.opened:
         return split
     cells = _number_cells(split, counted, share)
