@@ -337,6 +337,27 @@ def test_tables_count_the_fold_of_the_mixers(spark):
     assert not seen("held out xylophone").all()
 
 
+def test_every_training_text_moves_weights_and_trust(spark):
+    """No text of fold 1, and one late text by id that decides the trust: none of them is passed over."""
+    plain = [(i, f"plain words number {i * 7919} and some more of them", 2 + i % 8) for i in range(40)]
+    first = mixing.train(spark.createDataFrame(plain, "doc_id long, text string, fold long"))
+    start = np.array(mixing.MIXERS)[:, None, None]
+    assert (np.abs(first.weights - np.where(np.arange(4) < start, 1.2 / start, 0)).max(axis=(1, 2)) > 0.01).all()
+    for fold in range(1, 10):
+        more = mixing.train(spark.createDataFrame([*plain, (99, "abcdefghijklm" * 30, fold)], "doc_id long, text string, fold long"))
+        assert not np.array_equal(more.weights, first.weights) and more.trust[-1] > first.trust[-1]
+
+
+def test_repeats_and_blocks_of_many_texts(spark):
+    texts = [b"", b"abcdefgh" * 40, b"a", b"xyz" * 200, b"abcdefgh" * 3]
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    want = [(int(a) + at, run, true) for a, raw in zip(starts, texts, strict=False) for at, run, true in brute_repeats(raw)]
+    assert list(zip(*[c.tolist() for c in mixing.repeats_of(texts)], strict=True)) == want
+    model = mixing.Model(np.random.default_rng(1).integers(-60, 60, mixing.SLOTS).astype(np.int8),
+                         np.ones(mixing.SLOTS, np.int8), np.full((3, mixing.GATES, 4), 0.4), np.linspace(0.2, 0.9, mixing.RUNS))
+    assert model.scores(texts) == pytest.approx([model.scores([t])[0] for t in texts], rel=1e-6)
+
+
 def brute_repeats(raw):
     data, out, run, seen = raw + bytes([mixing.END]), [], 0, {}
     for i in range(8, len(data)):

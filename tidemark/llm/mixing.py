@@ -3,8 +3,9 @@
 A text is predicted bit by bit.  For the last 2, 3 and 4 bytes, and for the present word's last bytes (6 at most, with the
 space before it), each together with the bits of the present byte, hashed tables hold how often a 1 came next in the
 training texts.  Each such predictor gives the logit of its estimate; a gate (place of the bit, and how much the three longest
-contexts have been seen) picks the weights with which logits are added up.  The weights are learned online.  Three mixers, of
-2, 3 and 4 predictors, are weighed against each other within each text, from its own blocks so far.
+contexts have been seen) picks the weights with which logits are added up.  The weights are fitted to all training texts, each
+under tables that do not hold it.  Three mixers, of 2, 3 and 4 predictors, are weighed against each other within each text, from
+its own blocks so far.
 
 One more predictor knows only the text itself: where the last 8 bytes stood in it before, the byte that followed is expected
 again, with a trust that depends on how many such expectations in a row have just come true.
@@ -30,9 +31,15 @@ SLOTS = sum(SIZES)
 SCALE = 15.0
 MIXERS = (4, 3, 2)  # predictors used
 END = 255  # never a byte of UTF-8
-SAMPLE = 512
-STEP = 2048
 CHUNK = 1 << 16
+# Steps of the fit of the mixers, how far a weight moves in one at most, and the number of bits the first weights count as.
+STEPS = 4
+FURTHEST = 0.5
+PRIOR = 4.0
+# Repeats are counted by the model's own probability, in so many bins for each power of e.
+BINS, DEEPEST = 8, 128
+TAG = 56  # bits of a gram
+TOGETHER = 1 << 18
 BLOCK = 128
 FORGET = 0.9
 COMMON = 1 << 21
@@ -105,62 +112,62 @@ class Model:
         gate = (bit * 64 + self.sure[at[3]].astype(np.int64) * 16 + self.sure[at[2]] * 4 + self.sure[at[1]])
         return self.logit[at].astype(np.float32) / np.float32(SCALE), gate
 
-    def learn(self, keys: np.ndarray, squares: np.ndarray, rate: float = 0.05) -> None:
-        """One online step of every mixer over some bytes: gradient of the coding cost, scaled by its past size."""
-        parts = contexts(keys)
-        for bit in range(8):
-            x, gate = self.inputs(parts, keys, bit)
-            y = bits(keys, bit)
-            for m in range(len(MIXERS)):
-                w = self.weights[m]
-                p = 1 / (1 + np.exp(-np.clip((w[gate].T * x).sum(axis=0), -20, 20)))
-                for order in range(MIXERS[m]):
-                    g = np.bincount(gate, (y - p) * x[order], GATES)
-                    squares[m, :, order] += g * g
-                    w[:, order] += rate * g / np.sqrt(squares[m, :, order] + 1e-6)
-
-    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """Natural log probability of every byte under every mixer."""
-        weights = self.weights.astype(np.float32)
-        parts = [self._log_probabilities(keys[at:at + CHUNK], weights) for at in range(0, len(keys), CHUNK)]
-        return np.concatenate([np.zeros((len(MIXERS), 0), np.float32), *parts], axis=1)
-
-    def _log_probabilities(self, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(MIXERS), len(keys)), dtype=np.float32)
+    def log_probabilities(self, keys: np.ndarray, mixers: tuple[int, ...] = MIXERS) -> np.ndarray:
+        """Natural log probability of every byte under every mixer (or the first ones)."""
+        weights = np.ascontiguousarray(self.weights.transpose(0, 2, 1), dtype=np.float32)
+        parts = [self._log_probabilities(keys[at:at + CHUNK], weights, mixers) for at in range(0, len(keys), CHUNK)]
+        return np.concatenate([np.zeros((len(mixers), 0), np.float32), *parts], axis=1)
+
+    def _log_probabilities(self, keys: np.ndarray, weights: np.ndarray, mixers: tuple[int, ...]) -> np.ndarray:
+        # The product over the eight bits stays below e^640, which a double holds.
+        against = np.ones((len(mixers), len(keys)))
         parts = contexts(keys)
         for bit in range(8):
             x, gate = self.inputs(parts, keys, bit)
             sign = np.float32(1) - 2 * bits(keys, bit).astype(np.float32)
-            for m, orders in enumerate(MIXERS):
-                z = weights[m, gate, 0] * x[0]
-                for order in range(1, orders):
-                    z += weights[m, gate, order] * x[order]
-                out[m] -= np.log(1 + np.exp(np.minimum(sign * z, np.float32(80))))
-        return out
+            for m, orders in enumerate(mixers):
+                z = weighed(weights[m], orders, x, gate)
+                z *= sign
+                against[m] *= 1 + np.exp(np.minimum(z, np.float32(80), out=z), out=z)
+        return -np.log(against).astype(np.float32)
 
     def scores(self, texts: list[bytes]) -> list[float]:
         """log10 probability of each text."""
         keys, starts = grams(texts)
-        distinct, which = np.unique(keys, return_inverse=True)
-        each = self.log_probabilities(distinct)
-        ends = zip(starts[:-1].tolist(), starts[1:].tolist(), texts, strict=True)
-        return [adaptive(self.with_repeats(each[:, which[a:b]], raw)) / LN10 for a, b, raw in ends]
+        distinct, which = numbered(keys)
+        each = self.log_probabilities(distinct)[:, which]
+        return (adaptive(self._repeated(each, *repeats_of(texts)), starts) / LN10).tolist()
 
     def with_repeats(self, each: np.ndarray, raw: bytes) -> np.ndarray:
         """The log probabilities ``each`` of a text's bytes (mixer, byte), mixed in place with what its repeats let expect."""
-        at, run, true = repeats(raw)
+        return self._repeated(each, *repeats(raw))
+
+    def _repeated(self, each: np.ndarray, at: np.ndarray, run: np.ndarray, true: np.ndarray) -> np.ndarray:
         trust = self.trust[run]
         with np.errstate(divide="ignore"):
             each[:, at] = np.logaddexp(each[:, at] + np.log1p(-trust), np.log(trust * true))
         return each
 
-    def learn_trust(self, each: np.ndarray, raw: bytes, taken: np.ndarray, asked: np.ndarray) -> None:
-        """One online step of expectation maximisation: the share of each expectation in the bytes of one more text."""
-        at, run, true = repeats(raw)
-        own = self.trust[run] * true
-        taken += np.bincount(run, own / (own + (1 - self.trust[run]) * np.exp(each[at])), RUNS)
-        asked += np.bincount(run, minlength=RUNS)
-        self.trust[:] = taken / asked
+
+def weighed(weights: np.ndarray, orders: int, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    """The logits ``x`` (order, byte) added up with the gates' weights (order, gate)."""
+    z = weights[0][gate] * x[0]
+    for order in range(1, orders):
+        z += weights[order][gate] * x[order]
+    return z
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every key, and which of them each is.  A key may come twice if its hash meets another's."""
+    # Sorting (hash, place) in one number is faster than sorting places by key.
+    low = np.uint64(len(keys).bit_length())
+    both = np.sort(mix(keys) >> low << low | np.arange(len(keys), dtype=np.uint64))
+    place = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    ordered = keys[place]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(keys)]
+    which = np.empty(len(keys), np.int64)
+    which[place] = np.cumsum(new) - 1
+    return ordered[new], which
 
 
 def repeats(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,43 +176,70 @@ def repeats(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     The kind is the bit length, up to ``RUNS`` - 1, of the number of places just before that came true without a gap.
     """
-    data = np.frombuffer(raw + bytes([END]), dtype=np.uint8)
-    n = len(data) - REPEAT
-    if n < 2:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(bool)
-    context = np.zeros(n, np.uint64)
+    return repeats_of([raw])
+
+
+def repeats_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``repeats`` of each text, with the places of all texts counted on."""
+    found, some, size, begin = [], [], 0, 0
+    for i, raw in enumerate(texts):
+        some.append(raw)
+        size += len(raw) + 1
+        if size >= TOGETHER or i + 1 == len(texts):
+            at, run, true = _repeats(some, size)
+            found.append((at + begin, run, true))
+            some, size, begin = [], 0, begin + size
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _repeats(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = np.frombuffer(b"".join(t + bytes([END]) for t in texts) + bytes(REPEAT), dtype=np.uint8)
+    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    counts = np.where(sizes >= REPEAT + 2, sizes - REPEAT, 0)
+    context = np.zeros(size, np.uint64)
     for back in range(REPEAT):
-        context = context << np.uint64(8) | data[back:back + n]
+        context = context << np.uint64(8) | data[back:back + size]
     # Sorting (hash, place) in one number finds the latest earlier place of the same hash.
-    low = np.uint64(n.bit_length())
-    both = np.sort(mix(context) >> low << low | np.arange(n, dtype=np.uint64))
-    place = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
-    same = np.flatnonzero(both[1:] >> low == both[:-1] >> low)
+    places, first = np.arange(size), np.repeat(starts, sizes)
+    low = np.repeat(np.array([n.bit_length() for n in counts.tolist()], np.uint64), sizes)
+    own = places - first
+    both = mix(context) >> low << low | own.astype(np.uint64)
+    for a, b in zip(starts.tolist(), (starts + counts).tolist(), strict=True):
+        both[a:b].sort()
+    high = both >> low
+    inside = own < np.repeat(counts, sizes)
+    same = np.flatnonzero((high[1:] == high[:-1]) & inside[1:] & (own[1:] > 0))
+    place = first + (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
     at, before = place[same + 1], place[same]
-    true = np.zeros(n, dtype=bool)
+    true, met = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
     true[at] = data[at + REPEAT] == data[before + REPEAT]
-    places = np.arange(n)
+    met[at] = True
     wrong = np.maximum.accumulate(np.where(true, -1, places))
-    run = places - 1 - np.concatenate([[-1], wrong[:-1]])
-    at = np.sort(at)
-    return at + REPEAT, np.minimum(np.frexp(run[at].astype(np.float64))[1], RUNS - 1), true[at]
-
-
-def adaptive(each: np.ndarray) -> float:
-    """Log probability of a text of which every mixer gives its own: block by block, mixers are weighed by how well they did
-    in the blocks before, the latest most."""
-    blocks = np.add.reduceat(each, np.arange(0, each.shape[1], BLOCK), axis=1, dtype=np.float64).T.tolist()
-    total, past = 0.0, [0.0] * len(MIXERS)
-    for block in blocks:
-        most = max(past)
-        prior = [math.exp(v - most) for v in past]
-        top = max(block)
-        total += top + math.log(sum(w * math.exp(v - top) for w, v in zip(prior, block, strict=True)) / sum(prior))
-        past = [FORGET * w + v for w, v in zip(past, block, strict=True)]
-        most = max(past)
-        past = [w - most for w in past]
-    return total
+    at = np.flatnonzero(met)
+    run = at - 1 - np.maximum(np.concatenate([[-1], wrong])[at], first[at] - 1)
+    return at + REPEAT, np.minimum(np.frexp(run.astype(np.float64))[1], RUNS - 1), true[at]
+
+
+def adaptive(each: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Log probability of texts of whose bytes every mixer gives its own: block by block, mixers are weighed by how well they did
+    in the blocks before, the latest most.  All texts take a step at a time."""
+    n = -(-np.diff(starts) // BLOCK)
+    first = np.cumsum(n) - n
+    at = np.repeat(starts[:-1], n) + BLOCK * (np.arange(n.sum()) - np.repeat(first, n))
+    blocks = np.add.reduceat(each, at, axis=1, dtype=np.float64).T
+    order = np.argsort(-n, kind="stable")
+    first, left = first[order], np.searchsorted(-n[order], -np.arange(n.max(initial=0)), "left")
+    total, past = np.zeros(len(n)), np.zeros((len(n), len(each)))
+    for step, live in enumerate(left.tolist()):
+        block, prior = blocks[first[:live] + step], np.exp(past[:live])
+        top = block.max(axis=1)
+        total[:live] += top + np.log((prior * np.exp(block - top[:, None])).sum(axis=1) / prior.sum(axis=1))
+        past = FORGET * past[:live] + block
+        past -= past.max(axis=1)[:, None]
+    out = np.empty(len(n))
+    out[order] = total
+    return out
 
 
 def _distinct_counts(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,12 +253,16 @@ def _distinct_counts(values: list[np.ndarray], counts: list[np.ndarray]) -> tupl
 FIRST = 1 << 32
 
 
-def _grams_by_fold(first: list[bool], texts: list[bytes]):
-    """Grams of the texts; those of fold 1 count once more in the upper half of the number."""
-    for fold, each in ((False, 1), (True, 1 + FIRST)):
-        some = [t for f, t in zip(first, texts, strict=True) if f is fold]
+def _grams_by_half(first: list[bool], texts: list[bytes]):
+    """Grams of the texts; those of the first half count once more in the upper half of the number.  Grams at repeats come once
+    more with their kind of run, and whether the repeat went on, above the gram."""
+    for half, each in ((False, 1), (True, 1 + FIRST)):
+        some = [t for f, t in zip(first, texts, strict=True) if f is half]
         if some:
-            yield grams(some)[0], each
+            keys = grams(some)[0]
+            at, run, true = repeats_of(some)
+            tag = (1 + 2 * run + true).astype(np.uint64) << np.uint64(TAG)
+            yield np.concatenate([keys, keys[at] | tag]), each
 
 
 def _counted(of):
@@ -253,17 +291,27 @@ def _counted(of):
 SUMS = ("zero", "one", "first_zero", "first_one")
 
 
+def _bit_counts(keys: np.ndarray, counts: list[np.ndarray], bit: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where grams that agree in all before this bit begin, and for each of the counts how often a 0 and a 1 came there.
+    Sorted grams agree with their neighbours."""
+    before = keys >> np.uint64(8 - bit)
+    first = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+    y = bits(keys, bit)
+    return first, [np.add.reduceat(n * v, first) for n in counts for v in (1 - y, y)]
+
+
 def _slot_counts(batches):
-    """How often a 0 and a 1 came at every slot, in all texts and in those of fold 1."""
+    """How often a 0 and a 1 came at every slot, in all texts and in those of the first half."""
     for batch in batches:
         keys = batch.column("value").to_numpy().view(np.uint64)
+        if not len(keys):
+            continue
         counts = [batch.column(c).to_numpy() for c in ("n", "first")]
         at, sums = [], [[] for _ in SUMS]
         parts = contexts(keys)
         for bit in range(8):
-            y = bits(keys, bit)
-            each = [n * v for n in counts for v in (1 - y, y)]
-            for row in slots(parts, keys, bit):
+            first, each = _bit_counts(keys, counts, bit)
+            for row in slots([part[first] for part in parts], keys[first], bit):
                 at.append(row)
                 for column, n in zip(sums, each, strict=True):
                     column.append(n)
@@ -275,61 +323,166 @@ def _slot_counts(batches):
             [pa.array(at[first]), *[pa.array(np.add.reduceat(np.concatenate(column)[order], first)) for column in sums]], ["slot", *SUMS])
 
 
-def _online(model: Model):
-    def online(batches):
-        squares = np.full(model.weights.shape, 1.0)
-        own = Model(model.logit, model.sure, model.weights.copy(), model.trust.copy())
-        taken, asked = np.full(RUNS, 1.0), np.full(RUNS, 2.0)
+PLACES = [(m, i, j) for m, orders in enumerate(MIXERS) for i in range(orders) for j in range(i, orders)]
+
+
+def _apart(batch, models):
+    """The grams of a batch with how often each half of the texts has them, and the model that does not hold that half."""
+    keys = batch.column("value").to_numpy().view(np.uint64)
+    n, first = batch.column("n").to_numpy(), batch.column("first").to_numpy()
+    for model, times in zip(models, (n - first, first), strict=True):
+        some = times > 0
+        if some.any():
+            yield model, keys[some], times[some]
+
+
+def _sums(values: dict[int, np.ndarray]):
+    """Sums by number, as rows."""
+    for at, value in values.items():
+        yield pa.RecordBatch.from_arrays([pa.array(at + np.arange(value.size)), pa.array(value.ravel())], ["at", "value"])
+
+
+def _slopes(models, weights: np.ndarray):
+    """Cost of the grams' bits under the mixers, its slope in each weight and its curvature, for each gate."""
+    def slopes(batches):
+        own = weights.transpose(0, 2, 1).copy()
+        cost = np.zeros((len(MIXERS), GATES))
+        slope, curve = np.zeros((len(MIXERS), ORDERS, GATES)), np.zeros((len(PLACES), GATES))
+        for batch in batches:
+            for model, keys, times in _apart(batch, models.value):
+                parts = contexts(keys)
+                for bit in range(8):
+                    first, (zero, one) = _bit_counts(keys, [times], bit)
+                    x, gate = model.inputs([part[first] for part in parts], keys[first], bit)
+                    x, both = x.astype(np.float64), zero + one
+                    at, local, bent = slice(bit * 64, bit * 64 + 64), gate - bit * 64, []
+                    for m, orders in enumerate(MIXERS):
+                        z = np.minimum(weighed(own[m], orders, x, gate), 500.0)
+                        odds = np.exp(z)
+                        cost[m, at] += np.bincount(local, both * np.log(1 + odds) - one * z, 64)
+                        likely = both * (odds / (1 + odds))
+                        bent.append(likely / (1 + odds))
+                        push = likely - one
+                        for order in range(orders):
+                            slope[m, order, at] += np.bincount(local, push * x[order], 64)
+                    for i in range(ORDERS):
+                        for j in range(i, ORDERS):
+                            pair = x[i] * x[j]
+                            for m, orders in enumerate(MIXERS):
+                                if j < orders:
+                                    curve[PLACES.index((m, i, j)), at] += np.bincount(local, bent[m] * pair, 64)
+        yield from _sums({0: cost, cost.size: slope, cost.size + slope.size: curve})
+    return slopes
+
+
+def _repeat_counts(models):
+    """How often repeats of each kind went on and did not, by the model's own probability of the byte."""
+    def counted(batches):
+        counts = np.zeros((RUNS, 2, DEEPEST))
         for batch in batches:
-            for _, texts in text_parts(batch.column(0), batch.column(1)):
-                keys, starts = grams(texts)
-                for at in range(0, len(keys), STEP):
-                    own.learn(keys[at:at + STEP], squares)
-                for a, b, raw in zip(starts[:-1].tolist(), starts[1:].tolist(), texts, strict=True):
-                    own.learn_trust(own.log_probabilities(keys[a:b])[0], raw, taken, asked)
-        yield pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in (own.weights, own.trust)],
-                                         ["weights", "trust"])
-    return online
+            for model, tagged, times in _apart(batch, models.value):
+                kind = (tagged >> np.uint64(TAG)).astype(np.int64) - 1
+                own = model.log_probabilities(tagged & np.uint64((1 << TAG) - 1), MIXERS[:1])[0]
+                deep = np.minimum(-own * BINS, DEEPEST - 1).astype(np.int64)
+                counts += np.bincount(kind * DEEPEST + deep, times, counts.size).reshape(counts.shape)
+        yield from _sums({0: counts})
+    return counted
+
+
+def _added(keys: DataFrame, of, size: int) -> np.ndarray:
+    """The sums that ``of`` makes over the grams: as many numbers whatever the input, added up by Spark."""
+    rows = keys.mapInArrow(of, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(size)
+    out[rows["at"].to_numpy()] = rows["value"].to_numpy()
+    return out
+
+
+def fitted(keys: DataFrame, models, start: np.ndarray) -> np.ndarray:
+    """Weights (mixer, gate, order) of least cost over all grams, by Newton's method: each step is one job over the grams.
+
+    ``PRIOR`` pulls towards the first weights, so a gate without bits keeps them.  A step that raised the cost of a gate is halved.
+    """
+    best, least, step, weights = start, np.full(start.shape[:2], np.inf), np.zeros_like(start), start
+    shapes = [(len(MIXERS), GATES), (len(MIXERS), ORDERS, GATES), (len(PLACES), GATES)]
+    sizes = [math.prod(shape) for shape in shapes]
+    for _ in range(STEPS):
+        sums = np.split(_added(keys, _slopes(models, weights), sum(sizes)), np.cumsum(sizes)[:-1])
+        cost, slope, curve = (part.reshape(shape) for part, shape in zip(sums, shapes, strict=True))
+        away = weights - start
+        cost = cost + PRIOR / 2 * (away ** 2).sum(axis=2)
+        slope = slope.transpose(0, 2, 1) + PRIOR * away
+        bend = np.tile(PRIOR * np.eye(ORDERS), (*start.shape[:2], 1, 1))
+        for own, (m, i, j) in zip(curve, PLACES, strict=True):
+            bend[m, :, i, j] += own
+            if i != j:
+                bend[m, :, j, i] += own
+        down = np.linalg.solve(bend, -slope[..., None])[..., 0]
+        down *= np.minimum(1, FURTHEST / np.maximum(np.abs(down).max(axis=2, keepdims=True), 1e-300))
+        better = (cost <= least)[..., None]
+        best, least = np.where(better, weights, best), np.minimum(cost, least)
+        step = np.where(better, down, step / 2)
+        weights = best + step
+    return best
+
+
+def trusted(counts: np.ndarray) -> np.ndarray:
+    """Trust in each kind of repeat, by expectation maximisation over counts (kind, went on, bin of the model's own probability)."""
+    own = np.exp(-(np.arange(DEEPEST) + 0.5) / BINS)
+    asked, trust = 2 + counts.sum(axis=(1, 2)), np.full(RUNS, 0.5)
+    for _ in range(100):
+        share = trust[:, None] / (trust[:, None] + (1 - trust[:, None]) * own)
+        trust = (1 + (counts[:, 1] * share).sum(axis=1)) / asked
+    return trust
 
 
 def train(texts: DataFrame) -> Model:
-    """Learn the model from rows (doc_id, text, fold): mixers from fold 1 over tables of folds 2 to 9, to which fold 1 is then added.
+    """Learn the model from rows (doc_id, text, fold) of folds 1 to 9, from all of them.
 
-    The tables are counts over all texts of folds 1 to 9 in the end.  They have ``SLOTS`` (9,437,184) slots whatever the input, and so
-    many rows come to the driver at most.  Weights, and the trust in repeats, are learned online from at most ``SAMPLE`` (512)
-    texts of fold 1, in the order of a hash of their ids, in one task.
+    The tables are counts over all texts.  They have ``SLOTS`` (9,437,184) slots whatever the input, and so
+    many rows come to the driver at most.  Weights, and the trust in repeats, are fitted to all texts too: those of odd folds
+    under tables of the even ones, and the other way round.  The fit goes over distinct grams with their counts, in the tasks
+    that hold them; the sums it needs have one size whatever the input.
     """
-    marked = texts.select((F.col("fold") == 1).alias("first"), "text", "fold").where("fold BETWEEN 1 AND 9").drop("fold")
-    keys = marked.mapInArrow(_counted(_grams_by_fold), "value long, n long")
-    # In order of their last bytes, so that neighbours share contexts and are added up before they travel.
-    keys = keys.groupBy("value").agg(F.sum(F.col("n").bitwiseAND(F.lit(FIRST - 1))).alias("n"), F.sum(F.shiftright("n", 32)).alias("first"))
-    keys = written(keys.sortWithinPartitions("value"), "grams")
-    sums = keys.mapInArrow(_slot_counts, ", ".join(f"{c} long" for c in ("slot", *SUMS)))
+    spark = texts.sparkSession
+    marked = texts.where("fold BETWEEN 1 AND 9").select((F.col("fold") % 2 == 1).alias("first"), "text")
+    keys = marked.mapInArrow(_counted(_grams_by_half), "value long, n long")
+    # By context and in order, so that neighbours share what is before a bit and are added up before they travel.
+    keys = keys.withColumn("context", F.shiftright(F.col("value").bitwiseAND(F.lit((1 << TAG) - 1)), 8)).repartition("context")
+    keys = keys.groupBy("context", "value").agg(F.sum(F.col("n").bitwiseAND(F.lit(FIRST - 1))).alias("n"), F.sum(F.shiftright("n", 32)).alias("first"))
+    keys = written(keys.drop("context").sortWithinPartitions("value"), "grams")
+    plain = F.shiftright("value", TAG) == 0
+    sums = keys.where(plain).mapInArrow(_slot_counts, ", ".join(f"{c} long" for c in ("slot", *SUMS)))
     sums = written(sums.groupBy("slot").agg(*[F.sum(c).alias(c) for c in SUMS]), "slots")
-    dropped(keys)
 
     logit = F.round(F.lit(SCALE) * F.least(F.greatest(F.log((F.col("one") + 0.1) / (F.col("zero") + 0.1)), F.lit(-8.0)), F.lit(8.0)))
     seen = F.col("zero") + F.col("one")
     sure = F.when(seen >= 16, 3).when(seen >= 3, 2).otherwise(1)
+    start = np.zeros((len(MIXERS), GATES, ORDERS))
+    for m, orders in enumerate(MIXERS):
+        start[m, :, :orders] = 1.2 / orders
 
-    def fill(sums: DataFrame) -> None:
+    def filled(sums: DataFrame) -> Model:
         table = sums.where(seen > 0).select(F.col("slot").cast("int").alias("slot"), logit.cast("tinyint").alias("logit"),
                             sure.cast("tinyint").alias("sure")).toArrow()
         at = table["slot"].to_numpy()
+        model = Model(np.zeros(SLOTS, np.int8), np.zeros(SLOTS, np.int8), start)
         model.logit[at], model.sure[at] = table["logit"].to_numpy(), table["sure"].to_numpy()
-
-    model = Model(np.zeros(SLOTS, np.int8), np.zeros(SLOTS, np.int8), np.zeros((len(MIXERS), GATES, ORDERS)), np.full(RUNS, 0.5))
-    fill(sums.select("slot", (F.col("zero") - F.col("first_zero")).alias("zero"), (F.col("one") - F.col("first_one")).alias("one")))
-    for m, orders in enumerate(MIXERS):
-        model.weights[m, :, :orders] = 1.2 / orders
-    ids = texts.where("fold = 1").select(F.col("doc_id").alias("sampled")).distinct()
-    ids = F.broadcast(ids.orderBy(F.xxhash64("sampled"), "sampled").limit(SAMPLE))
-    sample = (texts.join(ids, F.col("doc_id") == F.col("sampled")).select("doc_id", "text")
-              .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    for row in sample.mapInArrow(_online(model), "weights binary, trust binary").collect():
-        model.weights = np.frombuffer(row[0]).reshape(model.weights.shape).copy()
-        model.trust = np.frombuffer(row[1]).copy()
-    fill(sums)
+        return model
+
+    second = sums.select("slot", (F.col("zero") - F.col("first_zero")).alias("zero"), (F.col("one") - F.col("first_one")).alias("one"))
+    first = sums.select("slot", F.col("first_zero").alias("zero"), F.col("first_one").alias("one"))
+    halves = (filled(first), filled(second))
+    shared = spark.sparkContext.broadcast(halves)
+    weights = fitted(keys.where(plain), shared, start)
+    shared.destroy()
+    for half in halves:
+        half.weights = weights
+    shared = spark.sparkContext.broadcast(halves)
+    trust = trusted(_added(keys.where(~plain), _repeat_counts(shared), RUNS * 2 * DEEPEST).reshape(RUNS, 2, DEEPEST))
+    shared.destroy()
+    dropped(keys)
+    model = filled(sums)
+    model.weights, model.trust = weights, trust
     dropped(sums)
     return model
 
