@@ -91,11 +91,15 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = {sign: bytes([i]) for i, sign in enumerate(byte_signs())}
-        names = sorted((i, sign) for sign, i in self.a.get_vocab().items())
-        self.a_bytes = {i: b"".join(byte_of.get(c, c.encode()) for c in sign) for i, sign in names}
+        names = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(names.values()) + 1)
+        for sign, i in names.items():
+            self.a_bytes[i] = b"".join(byte_of.get(c, c.encode()) for c in sign)
         self.width = self.b.get_piece_size()
-        self.b_bytes = {i: self._piece(i) for i in range(self.width)}
-        self.sizes = [np.array([len(table.get(i, b"")) for i in range(max(table) + 1)]) for table in (self.a_bytes, self.b_bytes)]
+        self.b_bytes = [self._piece(i) for i in range(self.width)]
+        self.sizes = [np.array(list(map(len, table))) for table in (self.a_bytes, self.b_bytes)]
+        # The ids as they stand in groups: not last and last of A's tokens, not last and last of B's.
+        self.signs = [f"{i}{after}" for table, some in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for after in some for i in range(len(table))]
         self.forget()
 
     def _piece(self, i: int) -> bytes:
@@ -105,6 +109,7 @@ class Aligner:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str | None] = []
+        self.spelt = np.zeros(0, bool)
         self.counts, self.length, self.at = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -112,7 +117,7 @@ class Aligner:
         """Align parts, each with a space in front.  As neither tokenizer joins what the spaces part, many are encoded in one go."""
         plain, other, alone = [], [], []
         for p in parts:
-            (alone if not p or p[0].isspace() or p[-1].isspace() else plain if p.isascii() else other).append(p)
+            (alone if not p or p.strip() != p else plain if p.isascii() else other).append(p)
         blocks = [some[i:i + TOGETHER] for some in (plain, other) for i in range(0, len(some), TOGETHER)] + [[p] for p in alone]
         learned = []
         for block in blocks:
@@ -120,10 +125,10 @@ class Aligner:
             learned += [(block, found)] if found else [([p], self._align_block([p])) for p in block]
         none = (np.zeros((1, 4), np.int64), [None], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for block, _ in learned:
-            for p in block:
-                self.known[p] = len(self.known)
+            self.known.update(zip(block, range(len(self.known), len(self.known) + len(block)), strict=True))
         counts, groups, length, pairs, times = zip(*[found or none for _, found in learned], strict=True)
-        self.groups += [g for some in groups for g in some]
+        self.groups += chain.from_iterable(groups)
+        self.spelt = np.concatenate([self.spelt, *[np.full(len(some), some[0] is not None) for some in groups]])
         self.counts = np.concatenate([self.counts, *counts])
         self.length = np.concatenate([self.length, *length])
         self.at = np.cumsum(self.length) - self.length
@@ -146,7 +151,7 @@ class Aligner:
         a, b = np.array(a_ids), np.array(b_ids)
         a_ends, b_ends = byte_ends(a_spans, self.sizes[0][a]), byte_ends(b_spans, self.sizes[1][b])
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        ends = np.cumsum([len(p) + 1 for p in parts] if len(raw) == len(whole) else [len(p.encode()) + 1 for p in parts])
         to = np.searchsorted(cuts, ends)
         if to[-1] >= len(cuts) or (cuts[to] != ends).any():
             return None
@@ -159,11 +164,17 @@ class Aligner:
 
         counts = np.stack([each(np.searchsorted(a_ends, ends, "right")), each(np.searchsorted(b_ends, ends, "right")), each(to + 1),
                            each(np.cumsum(sizes)[to])], axis=1)
-        a_text, b_text = list(map(str, a_ids)), list(map(str, b_ids))
-        a_to, b_to = np.searchsorted(a_ends, cuts, "right").tolist(), np.searchsorted(b_ends, cuts, "right").tolist()
-        texts = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in zip([0, *a_to], a_to, [0, *b_to], b_to)]
-        stops = (to + 1).tolist()
-        groups = [";".join(texts[i:j]) for i, j in zip([0, *stops], stops)]
+        # The tokens in the order of the groups, those of A before those of B.
+        a_to, b_to = np.searchsorted(a_ends, cuts, "right"), np.searchsorted(b_ends, cuts, "right")
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[a_to - 1], last_b[b_to - 1] = 1, 1
+        n_a = len(self.a_bytes)
+        signs = np.empty(len(a) + len(b), np.int64)
+        signs[np.arange(len(a)) + np.append(0, b_to)[a_group]] = a + last_a * n_a
+        signs[np.arange(len(b)) + a_to[b_group]] = b + 2 * n_a + last_b * self.width
+        words = list(map(self.signs.__getitem__, signs.tolist()))
+        stops = (a_to + b_to)[to].tolist()
+        groups = ["".join(words[i:j])[:-1] for i, j in zip([0, *stops], stops)]
         return counts, groups, each(np.searchsorted(group, to, "right")), pairs, times
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -171,16 +182,21 @@ class Aligner:
         if len(self.known) > CACHED:
             self.forget()
         cut = [parts_of(t) for t in texts]
-        new = {p for parts in cut for p in parts if p not in self.known}
+        flat = list(chain.from_iterable(cut))
+        index = list(map(self.known.get, flat))
+        new = {p for p, i in zip(flat, index, strict=True) if i is None}
         if new:
             self.learn(list(new))
-        found = [[self.known[p] for p in parts] for parts in cut]
-        joined = [[self.groups[i] for i in parts] for parts in found]
+            index = list(map(self.known.__getitem__, flat))
+        joined = list(map(self.groups.__getitem__, index))
+        index, n_parts = np.array(index, np.int64), np.array(list(map(len, cut)), np.int64)
+        to = np.cumsum(n_parts)
+        owner = np.repeat(np.arange(len(texts)), n_parts)
         # A text of which one part is not spelt by its tokens has none.
-        found = [[] if None in text else parts for parts, text in zip(found, joined, strict=True)]
-        groups = ["" if None in text else ";".join(text) for text in joined]
-        index = np.array([i for parts in found for i in parts], np.int64)
-        owner = np.repeat(np.arange(len(texts)), [len(parts) for parts in found])
+        whole = np.ones(len(texts), bool)
+        whole[owner[~self.spelt[index]]] = False
+        groups = [";".join(joined[i:j]) if ok else "" for i, j, ok in zip([0, *to.tolist()], to.tolist(), whole.tolist())]
+        index, owner = index[whole[owner]], owner[whole[owner]]
         counts = np.zeros((len(texts), 4), np.int64)
         np.add.at(counts, owner, self.counts[index])
         at = spans(self.at[index], self.length[index])
