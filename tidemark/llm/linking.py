@@ -85,4 +85,7 @@ def linked_components(tiles: DataFrame, verified: Callable[[DataFrame], DataFram
                        & (F.col("a") > F.col("b")) & (F.col("a_part") != F.col("b_part")) & condition)
     more = verified(across.select("a", "b").distinct())
     stars = first.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-    return components(stars.union(more), "a", "b")
+    out = components(stars.union(more), "a", "b")
+    for table in (rest, links, first):
+        dropped(table)
+    return out

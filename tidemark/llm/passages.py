@@ -162,11 +162,12 @@ def _windows(size: int):
     return windows
 
 
-def _repeated(keyed: DataFrame) -> DataFrame:
-    """The rows (doc_id, start, key) whose key several documents have, with the smallest of these as ``keep``."""
+def _repeated(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, start, key) whose key several documents have, with the smallest of these as ``keep``, and the written
+    table of such keys, to be dropped when the rows have been read."""
     named = keyed.groupBy(F.col("key").alias("named")).agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("most"))
     named = written(named.where("keep < most"), "repeated")  # by itself, so that Spark can split the join at a frequent key
-    return keyed.join(named, F.col("key") == F.col("named")).select("doc_id", "start", "key", "keep")
+    return keyed.join(named, F.col("key") == F.col("named")).select("doc_id", "start", "key", "keep"), named
 
 
 def joined(found: DataFrame, gap: int) -> DataFrame:
@@ -187,20 +188,24 @@ def equal_runs(texts: DataFrame) -> DataFrame:
     No run is lost: windows around every repeated anchor are looked up by number, and documents are never compared in
     pairs.  keep is the smallest id that has a window of the run, and cluster_id its smallest window number.
     """
-    def looked_up(places: DataFrame, size: int) -> DataFrame:
+    def looked_up(places: DataFrame, size: int, *read: DataFrame) -> DataFrame:
         ranges = places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
         around = texts.join(ranges, F.col("doc_id") == F.col("of")).select("doc_id", "text", "ranges")
         keyed = written(around.mapInArrow(_windows(size), "doc_id long, start long, key long"), "windows")
-        found = _repeated(keyed).select("doc_id", "start", F.lit(size).cast("long").alias("n_words"),
-                                        F.col("key").alias("cluster_id"), "keep", (F.col("doc_id") != F.col("keep")).alias("removed"))
+        for table in read:
+            dropped(table)
+        found, keys = _repeated(keyed)
+        found = found.select("doc_id", "start", F.lit(size).cast("long").alias("n_words"),
+                             F.col("key").alias("cluster_id"), "keep", (F.col("doc_id") != F.col("keep")).alias("removed"))
         runs = written(joined(found, 0), "runs")
         dropped(keyed)
+        dropped(keys)
         return runs
 
     keyed = written(texts.mapInArrow(_anchors, "doc_id long, start long, key long"), "anchors")
-    places = _repeated(keyed).select("doc_id", (F.col("start") - (LEAST_RUN - ANCHOR)).alias("low"), F.col("start").alias("high"))
-    runs = looked_up(places, LEAST_RUN)
-    dropped(keyed)
+    places, keys = _repeated(keyed)
+    places = places.select("doc_id", (F.col("start") - (LEAST_RUN - ANCHOR)).alias("low"), F.col("start").alias("high"))
+    runs = looked_up(places, LEAST_RUN, keyed, keys)
     end, reach = F.col("start") + F.col("n_words"), GAP + LEAST_RUN
     beside = runs.select("doc_id", (F.col("start") - reach).alias("low"), (F.col("start") - ANCHOR).alias("high")).union(
         runs.select("doc_id", end.alias("low"), (end + reach - ANCHOR).alias("high")))
@@ -275,6 +280,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     near = linked_components(tiles, verified, sets.select("node", "n", "bits"), possible(4, 5))
     near = written(near, "near")
+    dropped(sets)
+    dropped(tiles)
 
     # Where each cluster occurs.
     classes = units.groupBy(F.col("node").alias("class")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
