@@ -36,6 +36,9 @@ from tidemark.sources.staging import staged
 ROW, HEAD, TAIL = 0, 1, 2
 # So many neighbours are composed into a block.
 FAN = 16
+# So many rows go to a task that sorts them (it holds them several times); the session setting overrides the number.
+TASK_ROWS = 100_000
+TASK_ROWS_SETTING = "spark.tidemark.taskRows"
 
 
 def _next(values: np.ndarray, marks: np.ndarray, threshold) -> np.ndarray:
@@ -160,6 +163,13 @@ def _schema_without(df: DataFrame, *names: str) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name not in names])
 
 
+def _dealt(df: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:
+    """``df`` dealt out by ``keys`` to as many tasks as ``rows`` rows need; small tables are left to Spark, which joins partitions."""
+    spark = df.sparkSession
+    tasks = math.ceil(rows / int(spark.conf.get(TASK_ROWS_SETTING, str(TASK_ROWS))))
+    return df.repartition(tasks, *keys) if tasks > spark.sparkContext.defaultParallelism else df
+
+
 def delta_fires(
     df: DataFrame,
     keys: Sequence[str],
@@ -179,6 +189,8 @@ def delta_fires(
     columns = list(dict.fromkeys([*keys, *order, *keep]))
     value, limit, back = _exact(df, measure, threshold)
     rows = df.where(value.isNotNull()).select(*columns, value.alias("_value"))
+    if split is None:
+        rows = _dealt(rows, df.count(), keys)
     highs = scan(rows, keys, order, [greatest("_value", "_before")], inclusive=False, split=split)
     highs = highs.where(F.col("_before").isNull() | (F.col("_value") > F.col("_before"))).drop("_before")
     if split is None:
@@ -285,6 +297,8 @@ def delta_trigger_top(
     group = [*keys, "_block"]
     # Both scans share the grouping, so without hot keys they share one shuffle.
     asked = rows.unionByName(probes, allowMissingColumns=True)
+    if split is None:
+        asked = _dealt(asked, 3 * df.count(), group)  # every row may fire, and asks twice then
     heads = scan(asked, group, [*order, "_probe"], [best], split=split).withColumnRenamed("top", "_head")
     found = scan(heads, group, [ts, "_probe", *order], [best], True, True, time_split, totals_from=asked).where(
         F.col("_probe") != ROW
