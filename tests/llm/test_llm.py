@@ -370,6 +370,30 @@ def brute_repeats(raw):
     return out
 
 
+def test_a_bit_is_predicted_once_for_equal_bytes_before_it(monkeypatch):
+    """Neighbours that agree so far share a prediction, and grams met before ask for none; scores are those of each text alone."""
+    rng, asked, inputs = np.random.default_rng(1), [], mixing.Model.inputs
+    model = mixing.Model(rng.integers(-60, 60, mixing.SLOTS).astype(np.int8), rng.integers(0, 4, mixing.SLOTS).astype(np.int8),
+                         rng.uniform(0, 0.6, (3, mixing.GATES, 4)), np.linspace(0.2, 0.9, mixing.RUNS))
+    monkeypatch.setattr(mixing.Model, "inputs", lambda self, parts, keys, bit: asked.append(len(keys)) or inputs(self, parts, keys, bit))
+    keys = np.uint64(0x0161626320646500) + np.arange(256, dtype=np.uint64)
+    each = model.log_probabilities(keys)
+    assert asked == [1, 2, 4, 8, 16, 32, 64, 128]
+    mixed = rng.permutation(256)
+    assert np.array_equal(model.log_probabilities(keys[mixed]), each[:, mixed])
+    texts = [b"", b"abc abd", bytes(30), *[bytes(rng.integers(97, 105, n).tolist()) for n in (9, 200, 3000)]]
+    want = [model.scores([text])[0] for text in texts]
+    monkeypatch.setattr(mixing, "TOGETHER", 100)
+    met = mixing.Met()
+    assert model.scores(texts, met) == want
+    asked.clear()
+    assert model.scores(texts[::-1], met) == want[::-1] and sum(asked) < 100  # few grams meet another's place
+    monkeypatch.setattr(mixing, "MET", 8)  # many grams for each place
+    met = mixing.Met()
+    for _ in range(2):
+        assert model.scores(texts, met) == want
+
+
 def test_repeats_in_a_text():
     rng = np.random.default_rng(5)
     texts = [b"", b"a", b"abcdefgh", b"a" * 9, b"a" * 100, *[bytes(rng.integers(97, 99, n).tolist()) for n in range(0, 300, 7)]]

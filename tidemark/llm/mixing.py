@@ -14,7 +14,9 @@ again, with a trust that depends on how many such expectations in a row have jus
 from __future__ import annotations
 
 import dataclasses
+import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ PRIOR = 4.0
 BINS, DEEPEST = 8, 128
 TAG = 56  # bits of a gram
 TOGETHER = 1 << 18
+MET = 1 << 20  # grams whose log probabilities a task keeps
 BLOCK = 128
 FORGET = 0.9
 COMMON = 1 << 21
@@ -49,18 +52,29 @@ RUNS = 7
 LN10 = math.log(10)
 
 
+# What stays of a gram if its word holds both the fifth and the sixth byte before, the fifth alone, or none.
+WITHIN = ~np.array([0, 0xFF00, 0xFFFF00], dtype=np.uint64)
+
+
+def windows(raw: bytes, n: int, order: str) -> np.ndarray:
+    """The eight bytes from each of the first ``n`` places on, as one number."""
+    return np.ndarray(n, order, raw, strides=(1,)).astype(np.uint64)
+
+
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Per byte to predict (the end included): the six bytes before, the last one first, and the byte; and where texts start.
     The fifth and sixth byte are kept only if they belong to the same word."""
-    data = np.frombuffer(b"".join(b"\0\0\0\0\0 " + t + bytes([END]) for t in texts), dtype=np.uint8)
+    raw = b"".join(b"\0\0\0\0\0 " + t + bytes([END]) for t in texts)
+    data = np.frombuffer(raw, dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    n, wide, space = len(data) - 6, data.astype(np.uint64), SPACE[data]
-    key, inside = wide[6:].copy(), np.ones(n, dtype=bool)
-    for back in range(1, 7):
-        at = slice(6 - back, 6 - back + n)
-        value = wide[at] << np.uint64(56 - 8 * back)
-        key |= value if back <= 4 else np.where(inside, value, np.uint64(0))
-        inside &= ~space[at]
+    n, space = len(data) - 6, SPACE[data]
+    key = windows(raw + bytes(2), n, "<u8")
+    key <<= np.uint64(16)
+    key >>= np.uint64(8)
+    key &= ~np.uint64(255)
+    key |= data[6:]
+    near = space[5:5 + n] | space[4:4 + n] | space[3:3 + n] | space[2:2 + n]
+    key &= WITHIN[near.view(np.uint8) + (near | space[1:1 + n]).view(np.uint8)]
     keep = np.ones(n, dtype=bool)
     ends = np.cumsum(sizes + 6)[:-1]
     for i in range(6):
@@ -80,9 +94,18 @@ def word_part(keys: np.ndarray) -> np.ndarray:
 
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """Number of each predictor's context."""
+    """Number of each predictor's context.  Neighbours with the same bytes before them share the work."""
+    first, run = runs(keys >> np.uint64(8))
+    keys = keys[first]
     parts = [keys >> np.uint64(40), keys >> np.uint64(32), keys >> np.uint64(24), word_part(keys)]
-    return [mix(part + np.uint64((i + 1) << 60)) for i, part in enumerate(parts)]
+    return [mix(part + np.uint64((i + 1) << 60))[run] for i, part in enumerate(parts)]
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and which run each value is in."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return np.flatnonzero(new), np.cumsum(new) - 1
 
 
 def slots(parts: list[np.ndarray], keys: np.ndarray, bit: int) -> np.ndarray:
@@ -106,49 +129,94 @@ class Model:
     weights: np.ndarray  # mixer, gate, order
     trust: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(RUNS))  # that a repeat goes on, by ``repeats``
 
+    @functools.cached_property
+    def table(self) -> np.ndarray:
+        """Logits and how much is seen in one number, so that a slot is looked up once."""
+        return self.logit.astype(np.int16) << 2 | self.sure
+
     def inputs(self, parts: list[np.ndarray], keys: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
         """Logits (order, byte) and gates of this bit of the bytes."""
-        at = slots(parts, keys, bit)
-        gate = (bit * 64 + self.sure[at[3]].astype(np.int64) * 16 + self.sure[at[2]] * 4 + self.sure[at[1]])
-        return self.logit[at].astype(np.float32) / np.float32(SCALE), gate
+        both = self.table[slots(parts, keys, bit)]
+        sure = both[1:] & 3
+        return (both >> 2).astype(np.float32) / np.float32(SCALE), (sure[2] * 16 + sure[1] * 4 + sure[0]).astype(np.int64) + bit * 64
 
     def log_probabilities(self, keys: np.ndarray, mixers: tuple[int, ...] = MIXERS) -> np.ndarray:
-        """Natural log probability of every byte under every mixer (or the first ones)."""
+        """Natural log probability of every byte under every mixer (or the first ones).  Faster if the keys are in order."""
         weights = np.ascontiguousarray(self.weights.transpose(0, 2, 1), dtype=np.float32)
         parts = [self._log_probabilities(keys[at:at + CHUNK], weights, mixers) for at in range(0, len(keys), CHUNK)]
         return np.concatenate([np.zeros((len(mixers), 0), np.float32), *parts], axis=1)
 
     def _log_probabilities(self, keys: np.ndarray, weights: np.ndarray, mixers: tuple[int, ...]) -> np.ndarray:
-        # The product over the eight bits stays below e^640, which a double holds.
-        against = np.ones((len(mixers), len(keys)))
+        # Neighbours share what is before a bit: each bit is predicted once for a run of keys that agree so far.
         parts = contexts(keys)
+        first, run = runs(keys >> np.uint64(8))
+        # The product over the eight bits stays below e^640, which a double holds.
+        against = np.ones((len(mixers), len(first)))
         for bit in range(8):
-            x, gate = self.inputs(parts, keys, bit)
-            sign = np.float32(1) - 2 * bits(keys, bit).astype(np.float32)
-            for m, orders in enumerate(mixers):
-                z = weighed(weights[m], orders, x, gate)
-                z *= sign
-                against[m] *= 1 + np.exp(np.minimum(z, np.float32(80), out=z), out=z)
-        return -np.log(against).astype(np.float32)
-
-    def scores(self, texts: list[bytes]) -> list[float]:
+            x, gate = self.inputs([part[first] for part in parts], keys[first], bit)
+            z = [weighed(weights[m], orders, x, gate) for m, orders in enumerate(mixers)]
+            before = run
+            first, run = runs(keys >> np.uint64(7 - bit))
+            before = before[first]
+            sign = np.float32(1) - 2 * bits(keys[first], bit).astype(np.float32)
+            against = against[:, before]
+            for m in range(len(mixers)):
+                own = z[m][before]
+                own *= sign
+                against[m] *= 1 + np.exp(np.minimum(own, np.float32(80), out=own), out=own)
+        return -np.log(against).astype(np.float32)[:, run]
+
+    def scores(self, texts: list[bytes], met: Met | None = None) -> list[float]:
         """log10 probability of each text."""
-        keys, starts = grams(texts)
-        distinct, which = numbered(keys)
-        each = self.log_probabilities(distinct)[:, which]
-        return (adaptive(self._repeated(each, *repeats_of(texts)), starts) / LN10).tolist()
+        met = met or Met()
+        parts = [(some, *grams(some)) for some in pieces(texts)]
+        blocks, counts = [], []
+        for (some, _, starts), each in zip(parts, met.looked_up([keys for _, keys, _ in parts], self.log_probabilities), strict=True):
+            n, at = block_starts(starts)
+            blocks.append(np.add.reduceat(self._repeated(each, *_repeats(some)), at, axis=1, dtype=np.float64))
+            counts.append(n)
+        return (adaptive(np.concatenate(blocks, axis=1).T, np.concatenate(counts)) / LN10).tolist()
 
     def with_repeats(self, each: np.ndarray, raw: bytes) -> np.ndarray:
         """The log probabilities ``each`` of a text's bytes (mixer, byte), mixed in place with what its repeats let expect."""
         return self._repeated(each, *repeats(raw))
 
     def _repeated(self, each: np.ndarray, at: np.ndarray, run: np.ndarray, true: np.ndarray) -> np.ndarray:
-        trust = self.trust[run]
         with np.errstate(divide="ignore"):
-            each[:, at] = np.logaddexp(each[:, at] + np.log1p(-trust), np.log(trust * true))
+            on, off = np.log(self.trust), np.log1p(-self.trust)
+        other = each[:, at] + off[run]
+        other[:, true] = np.logaddexp(other[:, true], on[run[true]])
+        each[:, at] = other
         return each
 
 
+class Met:
+    """Log probabilities of grams that came before.  Each gram has one place, by its hash, and takes it from the one there."""
+
+    def __init__(self):
+        self.keys = np.full(MET, -1, np.int64).view(np.uint64)  # never a gram
+        self.each = np.zeros((MET, 4), np.float32)  # rows of 16 bytes, which numpy copies at once
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - MET.bit_length())).astype(np.int64)
+
+    def looked_up(self, parts: list[np.ndarray], of) -> Iterator[np.ndarray]:
+        """``of`` the keys of each part, which is asked once, for those that are not here."""
+        places = [self._places(keys) for keys in parts]
+        new = [np.flatnonzero(self.keys[place] != keys) for place, keys in zip(places, parts, strict=True)]
+        distinct, which = np.unique(np.concatenate([keys[at] for keys, at in zip(parts, new, strict=True)]), return_inverse=True)
+        found, begin = of(distinct), 0
+        for place, at in zip(places, new, strict=True):
+            out = np.ascontiguousarray(np.take(self.each, place, axis=0, mode="clip").T[:len(found)])
+            out[:, at] = found[:, which[begin:begin + len(at)]]
+            begin += len(at)
+            yield out
+        place = self._places(distinct)
+        self.keys[place] = distinct
+        stays = self.keys[place] == distinct
+        self.each[place[stays], :len(found)] = found[:, stays].T
+
+
 def weighed(weights: np.ndarray, orders: int, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
     """The logits ``x`` (order, byte) added up with the gates' weights (order, gate)."""
     z = weights[0][gate] * x[0]
@@ -157,19 +225,6 @@ def weighed(weights: np.ndarray, orders: int, x: np.ndarray, gate: np.ndarray) -
     return z
 
 
-def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every key, and which of them each is.  A key may come twice if its hash meets another's."""
-    # Sorting (hash, place) in one number is faster than sorting places by key.
-    low = np.uint64(len(keys).bit_length())
-    both = np.sort(mix(keys) >> low << low | np.arange(len(keys), dtype=np.uint64))
-    place = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
-    ordered = keys[place]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(keys)]
-    which = np.empty(len(keys), np.int64)
-    which[place] = np.cumsum(new) - 1
-    return ordered[new], which
-
-
 def repeats(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of a text (its end is one) at which an earlier one had the same ``REPEAT`` bytes before it, the kind of run they
     are in, and whether the byte is the one that followed then.
@@ -179,27 +234,37 @@ def repeats(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return repeats_of([raw])
 
 
-def repeats_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``repeats`` of each text, with the places of all texts counted on."""
-    found, some, size, begin = [], [], 0, 0
-    for i, raw in enumerate(texts):
+def pieces(texts: list[bytes]):
+    """The texts, as many at once as make about ``TOGETHER`` bytes, whose arrays stay in the processor's cache."""
+    some, size = [], 0
+    for raw in texts:
         some.append(raw)
         size += len(raw) + 1
-        if size >= TOGETHER or i + 1 == len(texts):
-            at, run, true = _repeats(some, size)
-            found.append((at + begin, run, true))
-            some, size, begin = [], 0, begin + size
+        if size >= TOGETHER:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def repeats_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``repeats`` of each text, with the places of all texts counted on."""
+    found, begin = [], 0
+    for some in pieces(texts):
+        at, run, true = _repeats(some)
+        found.append((at + begin, run, true))
+        begin += sum(map(len, some)) + len(some)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _repeats(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data = np.frombuffer(b"".join(t + bytes([END]) for t in texts) + bytes(REPEAT), dtype=np.uint8)
+def _repeats(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = b"".join(t + bytes([END]) for t in texts) + bytes(REPEAT)
+    data = np.frombuffer(raw, dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    size = int(sizes.sum())
     starts = np.cumsum(sizes) - sizes
     counts = np.where(sizes >= REPEAT + 2, sizes - REPEAT, 0)
-    context = np.zeros(size, np.uint64)
-    for back in range(REPEAT):
-        context = context << np.uint64(8) | data[back:back + size]
+    context = windows(raw, size, ">u8")
     # Sorting (hash, place) in one number finds the latest earlier place of the same hash.
     places, first = np.arange(size), np.repeat(starts, sizes)
     low = np.repeat(np.array([n.bit_length() for n in counts.tolist()], np.uint64), sizes)
@@ -221,16 +286,20 @@ def _repeats(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.
     return at + REPEAT, np.minimum(np.frexp(run.astype(np.float64))[1], RUNS - 1), true[at]
 
 
-def adaptive(each: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Log probability of texts of whose bytes every mixer gives its own: block by block, mixers are weighed by how well they did
-    in the blocks before, the latest most.  All texts take a step at a time."""
+def block_starts(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many blocks each text has, and where they begin."""
     n = -(-np.diff(starts) // BLOCK)
     first = np.cumsum(n) - n
-    at = np.repeat(starts[:-1], n) + BLOCK * (np.arange(n.sum()) - np.repeat(first, n))
-    blocks = np.add.reduceat(each, at, axis=1, dtype=np.float64).T
+    return n, np.repeat(starts[:-1], n) + BLOCK * (np.arange(n.sum()) - np.repeat(first, n))
+
+
+def adaptive(blocks: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log probability of texts of ``n`` blocks each, of which every mixer gives its own (block, mixer): block by block, mixers are
+    weighed by how well they did in the blocks before, the latest most.  All texts take a step at a time."""
+    first = np.cumsum(n) - n
     order = np.argsort(-n, kind="stable")
     first, left = first[order], np.searchsorted(-n[order], -np.arange(n.max(initial=0)), "left")
-    total, past = np.zeros(len(n)), np.zeros((len(n), len(each)))
+    total, past = np.zeros(len(n)), np.zeros((len(n), blocks.shape[1]))
     for step, live in enumerate(left.tolist()):
         block, prior = blocks[first[:live] + step], np.exp(past[:live])
         top = block.max(axis=1)
@@ -494,7 +563,7 @@ def _scored(model, common):
     """Score whole texts; words that are not among the common ones are passed on by number."""
     def scored(batches):
         numbers, logs = common.value
-        own = model.value
+        own, met = model.value, Met()
         for batch in batches:
             held, at = batch.column("held_out").to_pylist(), 0
             for ids, texts in text_parts(batch.column("doc_id"), batch.column("text")):
@@ -515,7 +584,7 @@ def _scored(model, common):
                     pa.array(ids, pa.int64()), pa.array(held[at:at + len(ids)], pa.bool_()), pa.array(np.diff(first) + 1),
                     pa.array(known[first[1:]] - known[first[:-1]]),
                     pa.array([float(value[a:b].sum()) for a, b in zip(first[:-1], first[1:], strict=True)], pa.float64()),
-                    pa.array(own.scores(texts), pa.float64()),
+                    pa.array(own.scores(texts, met), pa.float64()),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(words.numbers[rare].view(np.int64))),
                 ], [part.split()[0] for part in SCORE_SCHEMA.split(", ")])
                 at += len(ids)
